@@ -20,10 +20,16 @@ from .textstats import duplicate_lines, repeated_words, symbol_count, word_char_
 LEVEL = 3
 #: Bytes of a chunk; the last chunk takes the rest and is judged if at least half as long.
 CHUNK = 4096
-#: Upper end of a length class in bytes, and the lowest and highest ratio that are kept in it.
-BANDS = ((512, 0.30, 1.10), (1024, 0.28, 0.95), (2048, 0.26, 0.85), (4096, 0.24, 0.75), (16384, 0.20, 0.70), (1 << 62, 0.15, 0.65))
-#: Band of a chunk, and the share of chunks outside it from which a text goes.
-CHUNK_BAND, MAX_BAD_CHUNKS = (0.20, 0.80), 0.30
+#: Upper end of a length class in bytes, and the lowest and highest ratio kept in it.  Short
+#: texts have little to repeat and carry the frame's bytes, so limits fall with length; the lower
+#: ones lie 0.02 to 0.03 under the smallest ratio of labelled clean prose, the upper ones 0.1 above
+#: the largest (random letters and digits reach 0.76).
+BANDS = (
+    (512, 0.49, 0.95), (768, 0.49, 0.80), (1024, 0.47, 0.78), (1536, 0.455, 0.75), (2048, 0.445, 0.72), (3072, 0.435, 0.70),
+    (4096, 0.425, 0.68), (8192, 0.405, 0.66), (16384, 0.39, 0.64), (65536, 0.36, 0.62), (1 << 62, 0.30, 0.62),
+)
+#: Band of a chunk, and the share of chunks outside it beyond which a text goes.
+CHUNK_BAND, MAX_BAD_CHUNKS = (0.40, 0.66), 0.30
 #: Fixed values of the base rules.
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import compression, mixing, sharding, tokencount
+from . import compression, mixing, sharding, tokencount, warc
 from .common import table
 
 
@@ -35,11 +35,16 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.withColumns({"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")})
 
 
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_round_trip(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_mixing": op2_mixing,
     "op4_token_counts": op4_token_counts,
     "op8_quality_rules": op8_quality_rules,
     "op9_sharding": op9_sharding,
+    "op10_warc": op10_warc,
 }
 
 _OP2 = r"""
