@@ -7,10 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import compression, mixing, sharding, tokencount, warc
+from . import compression, decontam, mixing, quality, sharding, tokencount, warc
 from .common import table
 
 
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_quality(table(spark, sf_dir, "documents"))
+
+
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = mixing.plan_mix(table(spark, sf_dir, "documents"))
     return plan.withColumn("taken", F.col("size") * F.col("copies")).select("doc_id", "size", "source_size", "target", "copies", "taken")
@@ -26,6 +30,11 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.count_tokens(table(spark, sf_dir, "documents"), vocabulary()).withColumn("over_limit", F.col("n_tokens") > 512)
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.withColumn("contaminated", F.lit(True))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compression.compression_rules(table(spark, sf_dir, "documents"))
 
@@ -40,8 +49,10 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality_classifier": op1_quality_classifier,
     "op2_mixing": op2_mixing,
     "op4_token_counts": op4_token_counts,
+    "op7_decontamination": op7_decontamination,
     "op8_quality_rules": op8_quality_rules,
     "op9_sharding": op9_sharding,
     "op10_warc": op10_warc,

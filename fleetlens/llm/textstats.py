@@ -28,9 +28,9 @@ def str_words(text: str) -> list[str]:
 
 def word_ids(words: list) -> tuple[np.ndarray, int]:
     """The words as numbers from 0 in order of first appearance, and how many differ."""
-    seen: dict = {}
-    ids = np.fromiter((seen.setdefault(w, len(seen)) for w in words), dtype=np.int64, count=len(words))
-    return ids, len(seen)
+    seen = dict.fromkeys(words)
+    number = dict(zip(seen, range(len(seen)), strict=True))
+    return np.array(list(map(number.__getitem__, words)), dtype=np.int64), len(seen)
 
 
 def repeated_words(ids: np.ndarray, n_distinct: int, width: int = 3) -> int:
