@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import compression, decontam, mixing, quality, sharding, tokencount, warc
+from . import compression, decontam, licenses, mixing, quality, sharding, tokencount, toxicity, warc
 from .common import table
 
 
@@ -20,6 +20,10 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan.withColumn("taken", F.col("size") * F.col("copies")).select("doc_id", "size", "source_size", "target", "copies", "taken")
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(table(spark, sf_dir, "documents"))
+
+
 def vocabulary(name: str = "byte_bpe_50k.json") -> str:
     import public_tokenizers
 
@@ -30,6 +34,13 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.count_tokens(table(spark, sf_dir, "documents"), vocabulary()).withColumn("over_limit", F.col("n_tokens") > 512)
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    index = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    held_out = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)) == 2, F.lit(False))
+    return toxicity.score_toxicity(docs, index).withColumn("held_out", held_out)
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.withColumn("contaminated", F.lit(True))
@@ -51,7 +62,9 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_mixing": op2_mixing,
+    "op3_license_scan": op3_license_scan,
     "op4_token_counts": op4_token_counts,
+    "op6_toxicity": op6_toxicity,
     "op7_decontamination": op7_decontamination,
     "op8_quality_rules": op8_quality_rules,
     "op9_sharding": op9_sharding,
