@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import compression, decontam, licenses, mixing, quality, sharding, tokencount, toxicity, warc
+from . import compression, decontam, licenses, mixing, ngram_join, quality, sharding, tokencount, toxicity, warc
 from .common import table
 
 
@@ -34,6 +34,10 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.count_tokens(table(spark, sf_dir, "documents"), vocabulary()).withColumn("over_limit", F.col("n_tokens") > 512)
 
 
+def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.ngram_join(table(spark, sf_dir, "documents"))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     index = toxicity.train(docs, table(spark, sf_dir, "labels"))
@@ -64,6 +68,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_mixing": op2_mixing,
     "op3_license_scan": op3_license_scan,
     "op4_token_counts": op4_token_counts,
+    "op5_ngram_join": op5_ngram_join,
     "op6_toxicity": op6_toxicity,
     "op7_decontamination": op7_decontamination,
     "op8_quality_rules": op8_quality_rules,
