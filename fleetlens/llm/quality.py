@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import arrow_map, field, texts
+from .common import arrow_map, field, texts, written
 from .textstats import duplicate_lines, repeated_words, symbol_count, word_char_count, word_ids, words_of
 
 #: Documents, chosen by a hash of their id, that train the scorer; all if there are fewer.
@@ -182,60 +182,72 @@ class Model:
     def __init__(self, bad: dict[str, float], right: np.ndarray, share: float, w: np.ndarray, b: float):
         self.bad, self.right, self.share, self.w, self.b = bad, right, share, w, b
 
-    def score(self, text: str) -> tuple[str, float, float]:
-        stats, at, share = describe(text)
-        pattern = vote_pattern(stats)
-        i, v = features(stats, at, share)
-        return pattern, 1 - self.bad[pattern] if pattern in self.bad else 1 - self.share, float(1 / (1 + np.exp(-np.clip(self.w[i] @ v + self.b, -30, 30))))
+    def posterior(self, votes: str) -> float:
+        return 1 - self.bad.get(votes, self.share)
 
+    def score(self, at: np.ndarray, value: np.ndarray) -> float:
+        return float(1 / (1 + np.exp(-np.clip(self.w[at] @ value + self.b, -30, 30))))
+
+    def keeps(self, text: str) -> bool:
+        return self.score(*features(*describe(text))) >= KEEP_FROM
 
-def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Model:
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    voted = arrow_map(
-        rows.select("text"),
-        lambda b: pa.RecordBatch.from_arrays([pa.array([vote_pattern(describe(t)[0]) for t in texts(b)], pa.string())], names=["pattern"]),
-        T.StructType([T.StructField("pattern", T.StringType())]),
-    )
-    counts = {r["pattern"]: r["n"] for r in voted.groupBy("pattern").agg(F.count(F.lit(1)).alias("n")).collect()}  # 3 ** len(LABELLERS) rows at most
-    bad, right, share = fit_labellers(counts)
-    n = sum(counts.values())
-    chosen = rows if n <= TRAIN_DOCS else rows.where(F.pmod(F.xxhash64("id", F.lit("scorer")), F.lit(1 << 40)) < int((1 << 40) * TRAIN_DOCS / n)).limit(2 * TRAIN_DOCS)
 
-    def hashed(batch: pa.RecordBatch) -> pa.RecordBatch:
+_MEASURED = [T.StructField("votes", T.StringType()), T.StructField("at", T.BinaryType()), T.StructField("value", T.BinaryType())]
+
+
+def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """id, votes and hashed features of every row: a few hundred bytes each, written once."""
+
+    def measured(batch: pa.RecordBatch) -> pa.RecordBatch:
         out = []
         for t in texts(batch):
-            stats, at, parts = describe(t)
-            i, v = features(stats, at, parts)
-            out.append((vote_pattern(stats), i.tobytes(), v.tobytes()))
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), (pa.string(), pa.binary(), pa.binary()), strict=True)], names=["pattern", "at", "value"])
-
-    schema = T.StructType([T.StructField("pattern", T.StringType()), T.StructField("at", T.BinaryType()), T.StructField("value", T.BinaryType())])
-    sample = arrow_map(chosen, hashed, schema).collect()  # about TRAIN_DOCS rows
-    sample.sort(key=lambda r: (r["pattern"], r["at"], r["value"]))
-    w, b = fit_scorer([(np.frombuffer(r["at"], np.int32), np.frombuffer(r["value"])) for r in sample], np.array([1 - bad[r["pattern"]] for r in sample]))
+            stats, at, share = describe(t)
+            i, v = features(stats, at, share)
+            out.append((vote_pattern(stats), i.astype(np.int16).tobytes(), v.astype(np.float32).tobytes()))
+        votes, at, value = zip(*out, strict=True)
+        return pa.RecordBatch.from_arrays([batch.column("id"), pa.array(votes), pa.array(at, pa.binary()), pa.array(value, pa.binary())], names=["id", "votes", "at", "value"])
+
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    return written(arrow_map(rows, measured, T.StructType([field(docs, id_col, "id"), *_MEASURED])), "measured")[0]
+
+
+def _features(at: bytes, value: bytes) -> tuple[np.ndarray, np.ndarray]:
+    return np.frombuffer(at, np.int16), np.frombuffer(value, np.float32)
+
+
+def train(measured: DataFrame) -> Model:
+    counts = {r["votes"]: r["n"] for r in measured.groupBy("votes").agg(F.count(F.lit(1)).alias("n")).collect()}  # 3 ** len(LABELLERS) rows at most
+    bad, right, share = fit_labellers(counts)
+    n = sum(counts.values())
+    chosen = measured if n <= TRAIN_DOCS else measured.where(F.pmod(F.xxhash64("id", F.lit("scorer")), F.lit(1 << 40)) < int((1 << 40) * TRAIN_DOCS / n)).limit(2 * TRAIN_DOCS)
+    sample = sorted(chosen.select("votes", "at", "value").collect())  # about TRAIN_DOCS rows
+    w, b = fit_scorer([_features(r["at"], r["value"]) for r in sample], np.array([1 - bad[r["votes"]] for r in sample]))
     return Model(bad, right, share, w, b)
 
 
-def score_quality(docs: DataFrame, model: Model | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def score_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: id, ``votes``, ``posterior`` (P(good) by the labellers), ``score`` and ``kept``.
 
     Null and empty texts are judged as texts without words.  Equal texts get
     equal scores.  An empty table trains nothing and gives an empty result.
     Other columns are ignored.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model or train(docs, id_col, text_col))
+    measured = measure(docs, id_col, text_col)
+    shared = docs.sparkSession.sparkContext.broadcast(train(measured))
 
     def scored(batch: pa.RecordBatch) -> pa.RecordBatch:
-        votes, posterior, score = zip(*map(shared.value.score, texts(batch)), strict=True)
+        votes = batch.column("votes").to_pylist()
+        score = [shared.value.score(*_features(a, v)) for a, v in zip(batch.column("at").to_pylist(), batch.column("value").to_pylist(), strict=True)]
+        posterior = list(map(shared.value.posterior, votes))
         return pa.RecordBatch.from_arrays(
             [batch.column("id"), pa.array(votes), pa.array(posterior, pa.float64()), pa.array(score, pa.float64()), pa.array([s >= KEEP_FROM for s in score])], names=[id_col, "votes", "posterior", "score", "kept"]
         )
 
     schema = T.StructType([field(docs, id_col), T.StructField("votes", T.StringType()), T.StructField("posterior", T.DoubleType()), T.StructField("score", T.DoubleType()), T.StructField("kept", T.BooleanType())])
-    return arrow_map(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), scored, schema)
+    return arrow_map(measured, scored, schema)
 
 
 def keep_good(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the documents that the classifier rejects, with all columns as they are."""
-    shared = docs.sparkSession.sparkContext.broadcast(train(docs, id_col, text_col))
-    return arrow_map(docs, lambda b: b.filter(pa.array([shared.value.score(t)[2] >= KEEP_FROM for t in texts(b, text_col)], pa.bool_())), docs.schema)
+    shared = docs.sparkSession.sparkContext.broadcast(train(measure(docs, id_col, text_col)))
+    return arrow_map(docs, lambda b: b.filter(pa.array([shared.value.keeps(t) for t in texts(b, text_col)], pa.bool_())), docs.schema)
