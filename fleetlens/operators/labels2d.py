@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.geometry import box_corners, box_to_2d, global_to_sensor, map_points, rotation, vec
+from ..functions.geometry import box_corners, box_to_2d, global_to_sensor, let, map_points, rotation, vec
 from ..functions.scalars import distance_bin
 from ..params import Curation
 
@@ -17,10 +17,15 @@ def project_boxes(camera_frames: DataFrame, annotations: DataFrame, p: Curation)
     camera or out of the image), too_small.
     """
     j = annotations.join(camera_frames, "sample_token")
-    j = j.withColumns({"_r_box": rotation(F.col("rotation")), "_r_ego": rotation(F.col("ego_rotation")), "_r_sensor": rotation(F.col("sensor_rotation"))})
     center, ego, sensor = vec(F.col("translation")), vec(F.col("ego_translation")), vec(F.col("sensor_translation"))
-    corners = map_points(box_corners(center, vec(F.col("size")), F.col("_r_box")), lambda q: global_to_sensor(q, ego, F.col("_r_ego"), sensor, F.col("_r_sensor")))
-    j = j.withColumn("box", box_to_2d(corners, F.col("camera_intrinsic"), F.col("width"), F.col("height")))
+
+    def image_box(r_box: Column, r_ego: Column, r_sensor: Column) -> Column:
+        corners = map_points(box_corners(center, vec(F.col("size")), r_box), lambda q: global_to_sensor(q, ego, r_ego, sensor, r_sensor))
+        return box_to_2d(corners, F.col("camera_intrinsic"), F.col("width"), F.col("height"))
+
+    box = let(rotation(F.col("rotation")), lambda rb: let(rotation(F.col("ego_rotation")), lambda re: let(rotation(F.col("sensor_rotation")), lambda rs: image_box(rb, re, rs))))
+    # A generated column is computed once: the optimizer neither copies it nor moves filters through it.
+    j = j.select("*", F.inline(F.array(F.struct(box.alias("box")))))
     side = F.least(F.col("box.x2") - F.col("box.x1"), F.col("box.y2") - F.col("box.y1"))
     return j.withColumns(
         {
@@ -30,7 +35,7 @@ def project_boxes(camera_frames: DataFrame, annotations: DataFrame, p: Curation)
             .when(side < p.min_box_px, "too_small"),
             "distance_m": F.hypot(center[0] - ego[0], center[1] - ego[1]),
         }
-    ).drop("_r_box", "_r_ego", "_r_sensor")
+    )
 
 
 def labels_2d(camera_frames: DataFrame, annotations: DataFrame, p: Curation) -> DataFrame:
