@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import weakref
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -15,6 +16,32 @@ from pyspark.sql import types as T
 SLICE_ROWS = 512
 
 
+#: Rows that Spark hands to Python at a time, where the session has its default.
+BATCH_ROWS = 2000
+
+
+class Memo(dict):
+    """What a task remembers of words.  It is emptied when the task ends, as workers go on to other work."""
+
+    def __init__(self):
+        super().__init__()
+        _memos.add(self)
+
+    __hash__ = object.__hash__
+
+    def __eq__(self, other) -> bool:
+        return self is other
+
+
+_memos: weakref.WeakSet = weakref.WeakSet()
+
+
+def forget() -> None:
+    for m in list(_memos):
+        m.clear()
+    pa.default_memory_pool().release_unused()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -73,7 +100,11 @@ def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | Non
                 out = fn(batch.slice(at, SLICE_ROWS))
                 if out is not None:
                     yield out
+        forget()
 
+    conf = df.sparkSession.conf
+    if conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000") == "10000":
+        conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     return df.mapInArrow(run, schema)
 
 

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import arrow_map, field, texts
+from .common import Memo, arrow_map, field, texts
 
 WINDOW = 5
 #: Share of an item's windows, or windows in one run (13 tokens), from which a document holds the item.
@@ -33,8 +33,8 @@ MIN_CONTAINMENT, MIN_RUN = 0.5, 9
 MIN_CONSISTENCY = 0.8
 #: Bytes of benchmark text that one pass holds in a worker's memory.
 PART_BYTES = 8 << 20
-#: Distinct words that a worker remembers.
-MEMORY = 400_000
+#: Distinct words that a task remembers.
+MEMORY = 200_000
 
 #: Words that are units behind a number.
 UNITS = (
@@ -51,7 +51,7 @@ _UNITS = {u.encode() for u in UNITS}
 _P = np.uint64(0x9E3779B97F4A7C15)
 
 
-class Numbers(dict):
+class Numbers(Memo):
     """Words' numbers; a new word is learnt."""
 
     def __init__(self, learn):
@@ -93,7 +93,7 @@ class Canon:
     def tokens(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
         """Template hashes, their kinds, the words that they begin at, and the words."""
         words = text.encode("utf-8", "surrogatepass").split()
-        if len(self.number) > MEMORY:
+        if len(self.number) > MEMORY or (self.flags and not self.number):
             self.clear()
         ids = np.array(list(map(self.number.__getitem__, words)), dtype=np.int64)
         if not len(words):

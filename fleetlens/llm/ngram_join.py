@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import arrow_map, field, small, texts, written
+from .common import Memo, arrow_map, field, forget, small, texts, written
 from .components import components
 
 SHINGLE = 5
@@ -39,15 +39,15 @@ STEP, TOLERANCE = 16, 1e-5
 BLOCK = 1000
 #: Up to this many linked texts are broadcast to fetch their bodies; more are joined by shuffling.
 MAX_BROADCAST_TEXTS = 200_000
-#: Distinct words that a worker remembers.
-MEMORY = 300_000
+#: Distinct words that a task remembers.
+MEMORY = 150_000
 
 _RNG = np.random.default_rng(20)
 _FACTORS = _RNG.integers(0, 2**63, VALUES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _PLACES = _RNG.integers(0, 2**63, SHINGLE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-class WordHashes(dict):
+class WordHashes(Memo):
     def __missing__(self, word: bytes) -> int:
         import xxhash
 
@@ -212,6 +212,7 @@ def _survivors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if edges:
             u, v = zip(*edges, strict=True)
             yield pa.RecordBatch.from_arrays([pa.array(u, pa.binary()), pa.array(v, pa.binary())], names=["u", "v"])
+    forget()
 
 
 LINKS = T.StructType(
@@ -274,6 +275,7 @@ def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 out += [(tid[x], tid[y], False, None, None) for x, y in edges]
         cols = zip(*out, strict=True)
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, (pa.binary(), pa.binary(), pa.bool_(), pa.int64(), pa.int64()), strict=True)], names=LINKS.names)
+    forget()
 
 
 def text_key(text: Column) -> Column:

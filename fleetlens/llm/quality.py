@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import arrow_map, field, texts, written
+from .common import Memo, arrow_map, field, texts, written
 from .textstats import duplicate_lines, repeated_words, symbol_count, word_char_count, word_ids, words_of
 
 #: Documents, chosen by a hash of their id, that train the scorer; all if there are fewer.
@@ -54,11 +54,11 @@ LABELLERS: dict[str, tuple[Callable, Callable]] = {
 _LETTER = re.compile(r"[^\W\d_]")
 _SHAPES = ((re.compile(r"[^\W\d_a-zà-ÿ]+"), "A"), (re.compile(r"[^\W\dA_]+"), "a"), (re.compile(r"\d+"), "0"))
 _USUAL_ENDS = set(".,;:!?\"')]}”’»…-")
-#: Distinct words that a worker remembers.
-MEMORY = 300_000
+#: Distinct words that a task remembers.
+MEMORY = 150_000
 
 
-class Words(dict):
+class Words(Memo):
     """What is known of a word: has a letter, ends oddly, its shape's bucket."""
 
     def __missing__(self, word: bytes) -> tuple[bool, bool, int]:

@@ -17,12 +17,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import arrow_map, field, texts
+from .common import Memo, arrow_map, field, texts
 
 #: Fixed value: the pre-token pattern of byte-level vocabularies.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-#: Counts of merged pre-tokens that a worker remembers before it starts anew.
-MEMORY = 200_000
+#: Counts of merged pre-tokens that a task remembers before it starts anew.
+MEMORY = 150_000
 #: Longer pre-tokens are merged but not remembered.
 LONGEST = 64
 
@@ -81,8 +81,8 @@ class Counter:
         special = sorted((str(t.content) for t in self.tok.get_added_tokens_decoder().values()), key=len, reverse=True)
         self.special = special
         self.split = regex.compile("|".join(map(regex.escape, special))).split
-        self.merged: dict[str, int] = {}
-        self.pieces: dict[str, int] = {}
+        self.merged = Memo()
+        self.pieces = Memo()
 
     def one(self, pre_token: str) -> int:
         if pre_token in self.whole:

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import arrow_map, field, texts
+from .common import Memo, arrow_map, field, texts
 
 #: Labelled documents that become examples, chosen by a hash of their id; all if there are fewer.
 MAX_EXAMPLES = 8000
@@ -33,8 +33,8 @@ OPENINGS = (4, 5, 6)
 BLOCK, NEIGHBOURS, PRIOR_WEIGHT = 32, 15, 0.5
 THRESHOLD = 0.3
 EDGE = "\"'()[]{}.,;:!?…“”‘’«»¿¡*#$%&|<>-_"
-#: Distinct words that a worker remembers.
-MEMORY = 300_000
+#: Distinct words that a task remembers.
+MEMORY = 150_000
 
 
 def terms_of(word: bytes) -> set[int]:
@@ -48,7 +48,7 @@ def terms_of(word: bytes) -> set[int]:
     return {xxhash.xxh64_intdigest(f.encode("utf-8", "surrogatepass")) for f in forms}
 
 
-class Terms(dict):
+class Terms(Memo):
     """Words' terms, through ``pick``; kept while there are not too many."""
 
     def __init__(self, pick):
