@@ -27,6 +27,8 @@ from .textstats import duplicate_lines, repeated_words, symbol_count, word_char_
 TRAIN_DOCS = 6000
 #: Buckets of hashed features.
 BUCKETS = 2048
+#: How right labellers are taken to be at first, and the share of documents whose weight that has.
+PRIOR_RIGHT, PRIOR_SHARE = 0.9, 0.05
 #: Score from which a document is kept.
 KEEP_FROM = 0.5
 
@@ -41,14 +43,14 @@ LABELLERS: dict[str, tuple[Callable, Callable]] = {
     "variety": (lambda s: s["variety"] < 3.0 and s["n_words"] >= 40, lambda s: False),
     "dup_lines": (lambda s: s["dup_lines"] > 0.30 and s["n_words"] >= 40, lambda s: False),
     "packs": (lambda s: s["packs"] < 0.25 and s["n_words"] >= 20, lambda s: False),
-    "no_words": (lambda s: s["n_words"] < 2, lambda s: False),
+    "no_words": (lambda s: s["n_words"] < 1, lambda s: False),
     "prose_shape": (
         lambda s: False,
-        lambda s: s["n_words"] >= 2 and s["symbols"] < 0.04 and s["upper"] < 0.30 and s["odd_ends"] < 0.12 and s["wordless"] < 0.08 and 2 <= s["word_len"] <= 14,
+        lambda s: s["n_words"] >= 1 and s["symbols"] < 0.04 and s["upper"] < 0.30 and s["odd_ends"] < 0.12 and s["wordless"] < 0.08 and 2 <= s["word_len"] <= 14,
     ),
     "varied_wording": (
         lambda s: False,
-        lambda s: s["n_words"] >= 2 and s["repeats"] < 0.20 and s["dup_lines"] < 0.20 and (s["packs"] > 0.30 or s["n_words"] < 20) and s["odd_ends"] < 0.30 and s["wordless"] < 0.20,
+        lambda s: s["n_words"] >= 1 and s["repeats"] < 0.20 and s["dup_lines"] < 0.20 and (s["packs"] > 0.30 or s["n_words"] < 20) and s["odd_ends"] < 0.30 and s["wordless"] < 0.20,
     ),
 }
 _LETTER = re.compile(r"[^\W\d_]")
@@ -133,23 +135,24 @@ def features(stats: dict[str, float], at: np.ndarray, share: np.ndarray) -> tupl
 def fit_labellers(counts: dict[str, int], rounds: int = 100, prior_bad: float = 0.2) -> tuple[dict[str, float], np.ndarray, float]:
     """Expectation maximisation: P(bad) of each vote pattern, each labeller's accuracy, the share of bad documents.
 
-    A labeller that does not vote says nothing.  Accuracies start at 0.8 and
-    carry the weight of a few pseudo-documents, so one that never votes stays
-    there and none reaches 0 or 1.
+    A labeller that does not vote says nothing.  Accuracies start at
+    ``PRIOR_RIGHT`` and are held there with the weight of ``PRIOR_SHARE`` of
+    all documents, so a labeller whose few votes meet no other's keeps its
+    good name, and none reaches 0 or 1.
     """
     patterns = sorted(counts)
     if not patterns:
-        return {}, np.full(len(LABELLERS), 0.8), prior_bad
+        return {}, np.full(len(LABELLERS), PRIOR_RIGHT), prior_bad
     n = np.array([counts[p] for p in patterns], dtype=float)
     votes = np.array([[{"b": 1, "g": -1, "-": 0}[c] for c in p] for p in patterns])
-    right, share, weight = np.full(votes.shape[1], 0.8), prior_bad, 10.0
+    right, share, weight = np.full(votes.shape[1], PRIOR_RIGHT), prior_bad, 10 + PRIOR_SHARE * n.sum()
     for _ in range(rounds):
         odds = np.log(share / (1 - share)) + votes @ np.log(right / (1 - right))
         bad = 1 / (1 + np.exp(-odds))
         agree = (n[:, None] * np.where(votes > 0, bad[:, None], np.where(votes < 0, 1 - bad[:, None], 0))).sum(0)
         cast = (n[:, None] * (votes != 0)).sum(0)
-        before, right = right, np.clip((agree + 0.8 * weight) / (cast + weight), 0.51, 0.995)
-        share = float(np.clip((n @ bad + prior_bad * weight) / (n.sum() + weight), 0.01, 0.6))
+        before, right = right, np.clip((agree + PRIOR_RIGHT * weight) / (cast + weight), 0.51, 0.995)
+        share = float(np.clip((n @ bad + prior_bad * 10) / (n.sum() + 10), 0.01, 0.6))
         if np.abs(before - right).max() < 1e-9:
             break
     return dict(zip(patterns, bad.tolist(), strict=True)), right, share
