@@ -40,11 +40,13 @@ corners AS (
   FROM annotations, signs)"""
 
 
-@query("WITH " + _CORNERS + " SELECT annotation_token, k::INTEGER AS k, round(x, 5) + 0.0 AS x, round(y, 5) + 0.0 AS y, round(z, 5) + 0.0 AS z FROM corners WHERE k IN (0, 6)")
+@query("WITH " + _CORNERS + " SELECT annotation_token, " + ", ".join(f"round({f}({c}), 5) + 0.0 AS {f}_{c}" for c in "xyz" for f in ("min", "max")) + " FROM corners GROUP BY 1")
 def geo_box_corners(spark, d):
-    a = annotations(spark, d).withColumn("r", G.rotation(F.col("rotation")))
-    c = a.select("annotation_token", F.posexplode(G.box_corners(G.vec(F.col("translation")), G.vec(F.col("size")), F.col("r"))).alias("k", "c"))
-    return c.where("k IN (0, 6)").select("annotation_token", "k", *[_r(F.col(f"c.{n}"), 5).alias(n) for n in "xyz"])
+    """The extent of each box over its eight corners."""
+    a = annotations(spark, d)
+    corners = G.let(G.rotation(F.col("rotation")), lambda r: G.box_corners(G.vec(F.col("translation")), G.vec(F.col("size")), r))
+    c = a.select("annotation_token", F.inline(corners))
+    return c.groupBy("annotation_token").agg(*[_r(getattr(F, f)(n), 5).alias(f"{f}_{n}") for n in "xyz" for f in ("min", "max")])
 
 
 # A camera at the origin that looks along x: sensor x = -y, sensor y = -z, depth = x.
@@ -278,11 +280,18 @@ def eval_nds(spark, d):
     return r.select(*[F.round(c, 6).alias(c) for c in ("map", "mate", "mase", "maoe", "nds")])
 
 
-@query("WITH RECURSIVE " + _MATCH.replace("FROM points WHERE point >= 8)", "FROM points WHERE point >= 8 AND point < 12)") + ", n AS (SELECT count(*) AS n_gt FROM gt) SELECT 'first' AS half, any_value(n_gt) AS n_gt, round(count(*) / any_value(n_gt)::DOUBLE, 6) AS recall, round(avg(d), 6) AS ate FROM matched, n WHERE thr = 2.0 AND g IS NOT NULL")
+#: The truths of a frame in two halves; every detection is matched in each half anew.
+_HALVES = _MATCH.replace("SELECT frame AS sample, point % 2 AS cls, point::BIGINT AS p", "SELECT frame * 2 + h AS sample, point % 2 AS cls, point::BIGINT AS p").replace("FROM points WHERE point < 8", "FROM points, range(0, 2) q(h) WHERE point < 8").replace(
+    "SELECT frame AS sample, point % 2 AS cls, point::BIGINT AS g", "SELECT frame * 2 + (point >= 12)::INT AS sample, point % 2 AS cls, point::BIGINT AS g"
+)
+
+
+@query("WITH RECURSIVE " + _HALVES + """, n AS (SELECT sample % 2 AS half, count(*) AS n_gt FROM gt GROUP BY 1), f AS (SELECT sample % 2 AS half, count(*) AS found, avg(d) AS ate FROM matched WHERE thr = 2.0 AND g IS NOT NULL GROUP BY 1)
+SELECT CASE n.half WHEN 0 THEN 'first' ELSE 'second' END AS half, n_gt, round(coalesce(found, 0) / n_gt::DOUBLE, 6) AS recall, round(ate, 6) AS ate FROM n LEFT JOIN f ON n.half = f.half""")
 def eval_recall_by(spark, d):
     p, g = detections(spark, d)
     g = g.withColumn("half", F.when(F.col("g") < 12, "first").otherwise("second"))
-    return matching.recall_by(p, g, "half", 2.0).where("half = 'first'").select("half", "n_gt", F.round("recall", 6).alias("recall"), F.round("ate", 6).alias("ate"))
+    return matching.recall_by(p, g, "half", 2.0).select("half", "n_gt", F.round("recall", 6).alias("recall"), F.round("ate", 6).alias("ate"))
 
 
 @query("WITH RECURSIVE " + _MATCH + " SELECT gt.sample, count(*) AS missed FROM gt WHERE NOT EXISTS (SELECT 1 FROM matched m WHERE m.thr = 2.0 AND m.sample = gt.sample AND m.cls = gt.cls AND m.g = gt.g) GROUP BY 1")

@@ -167,9 +167,9 @@ def join_sync_grid(spark, d):
     return timing.sync_grid(grid_frames(spark, d), CHANNELS, "view")
 
 
-@query("WITH " + FRAMES + " SELECT frame_token, channel, value AS brightness, f.event_id IS NOT NULL AS decode_ok FROM frames LEFT JOIN (SELECT event_id, value FROM events WHERE event_id % 3 <> 0) f ON frame_token = f.event_id")
+@query("WITH " + FRAMES + " SELECT frame_token, channel, value AS brightness, f.event_id IS NOT NULL AS decode_ok FROM frames LEFT JOIN (SELECT event_id, value FROM events WHERE value >= 5) f ON frame_token = f.event_id")
 def join_left_features(spark, d):
-    features = read(spark, d, "events").where("event_id % 3 <> 0").select(F.col("event_id").alias("frame_token"), F.col("value").alias("brightness"), F.lit(True).alias("decode_ok"))
+    features = read(spark, d, "events").where("value >= 5").select(F.col("event_id").alias("frame_token"), F.col("value").alias("brightness"), F.lit(True).alias("decode_ok"))
     return frames(spark, d).join(features, "frame_token", "left").select("frame_token", "channel", "brightness", F.coalesce("decode_ok", F.lit(False)).alias("decode_ok"))
 
 
