@@ -164,7 +164,7 @@ def kpis(spark: SparkSession, p: Params) -> dict:
 
 def publish(spark: SparkSession, p: Params, run_id: str, published_at: str) -> dict:
     s = Stage(spark, p)
-    text = spark.read.option("wholetext", True).text(s.path("reports/kpis.json")).first()[0]
+    text = spark.read.text(s.path("reports/kpis.json"), wholetext=True).first()[0]
     rows = store.metric_rows(spark, json.loads(text))
     store.publish(rows, s.path("store/kpi_history"), run_id, published_at)
     store.publish(s.table("reports/issues", "quality").select("check", "severity", "scene_name", "channel", "message"), s.path("store/quality_issues"), run_id, published_at)
