@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import ship
+
 #: Rows that a Python pass handles at a time; bounds its memory.
 SLICE_ROWS = 512
 
@@ -102,6 +104,7 @@ def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | Non
                     yield out
         forget()
 
+    ship(df.sparkSession)
     conf = df.sparkSession.conf
     if conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000") == "10000":
         conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))

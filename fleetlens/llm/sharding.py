@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import ship
 from .common import written
 
 #: Bytes that each document weighs beside its text.
@@ -58,6 +59,7 @@ def assign_shards(docs: DataFrame, n_shards: int = 24, id_col: str = "doc_id", t
     empty result.  Other columns are ignored, whatever their names.
     """
     spark = docs.sparkSession
+    ship(spark)
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(
         F.col(id_col).alias("__id"),

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, EqualTo, Filter, In, InputPartition, WriterCommitMessage
 
+from ..session import ship
 from .common import fresh_path, small, written
 
 CRLF = b"\r\n"
@@ -233,6 +234,7 @@ class WarcSource(DataSource):
 
 
 def register(spark: SparkSession) -> None:
+    ship(spark)
     spark.dataSource.register(WarcSource)
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
 
