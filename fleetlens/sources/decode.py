@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import FEATURES, POINTS
+from ..session import ship
 from .raw import relative
 
 #: Bytes of a LiDAR record: x, y, z, intensity, ring as little-endian float32.
@@ -137,6 +138,7 @@ def _camera_features(images: DataFrame, side: int) -> DataFrame:
 
 def frame_features(spark: SparkSession, frames: DataFrame, root: str, side: int = 320) -> DataFrame:
     """One row a frame: what its file decodes to, or why it does not.  Files are read where they lie and never collected."""
+    ship(spark)
     parts = []
     wanted = frames.select("frame_token", "filename", "modality", "width", "height")
     dirs = [f"{root}/samples", f"{root}/sweeps"]
@@ -153,6 +155,7 @@ def frame_features(spark: SparkSession, frames: DataFrame, root: str, side: int
 
 def read_points(spark: SparkSession, frames: DataFrame, root: str, dims: int = 5) -> DataFrame:
     """The points of LiDAR frames (frame_token, filename), one row a point; files that do not decode have none."""
+    ship(spark)
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.pcd.bin").load([f"{root}/samples", f"{root}/sweeps"])
     rows = frames.select(F.col("frame_token").alias("lidar_frame"), "filename").join(files.select(relative(F.col("path")).alias("filename"), "content"), "filename").select("lidar_frame", "content")
 
