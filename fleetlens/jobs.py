@@ -22,6 +22,7 @@ from .params import Params, load_params
 from .session import get_spark
 from .sinks import export_yolo, html_report, submission, write_json, write_parquet, write_text, yolo_labels
 from .sources import decode
+from .sources.lineage import fingerprint, git_commit
 from .sources.raw import check_key, file_sizes, manifest, read_parquet, read_table
 from .schemas import RAW
 
@@ -165,11 +166,28 @@ def kpis(spark: SparkSession, p: Params) -> dict:
 def publish(spark: SparkSession, p: Params, run_id: str, published_at: str) -> dict:
     s = Stage(spark, p)
     text = spark.read.text(s.path("reports/kpis.json"), wholetext=True).first()[0]
-    rows = store.metric_rows(spark, json.loads(text))
+    version = fingerprint(spark, s.path("reports/kpis.json"))
+    rows = store.metric_rows(spark, json.loads(text)).withColumns({"git_commit": F.lit(git_commit()), "dataset_version": F.lit(version)})
     store.publish(rows, s.path("store/kpi_history"), run_id, published_at)
     store.publish(s.table("reports/issues", "quality").select("check", "severity", "scene_name", "channel", "message"), s.path("store/quality_issues"), run_id, published_at)
     store.publish(s.table("reports/coverage", "kpis"), s.path("store/coverage"), run_id, published_at)
-    return {"run_id": run_id, "metrics": rows.count()}
+    return {"run_id": run_id, "dataset_version": version, "metrics": rows.count()}
+
+
+def publish_model(spark: SparkSession, p: Params, slices: DataFrame, model_version: str, run_id: str, published_at: str) -> None:
+    """Appends a model's metrics: 2D scores by slice (slice, metric, value), and 3D ones if fusion has run."""
+    s = Stage(spark, p)
+    rows = slices.select("slice", "metric", F.col("value").cast("double").alias("value"))
+    path = s.path("predictions/eval3d.json")
+    if exists(spark, path):
+        report = json.loads(spark.read.text(path, wholetext=True).first()[0])
+        rows = rows.unionByName(store.metric_rows(spark, report).select(F.lit("3d").alias("slice"), F.concat(F.lit("3d."), "metric").alias("metric"), "value"))
+    store.publish(rows.withColumn("model_version", F.lit(model_version)), s.path("store/model_metrics"), run_id, published_at)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
 
 
 def fuse3d(spark: SparkSession, p: Params) -> dict:

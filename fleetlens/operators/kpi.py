@@ -107,6 +107,13 @@ def histogram(values: DataFrame, column: str, bounds: Sequence[float], *keys: st
     return per.select(*keys, F.inline(cells)).toDF(*keys, "le", "n")
 
 
+def latency_report(runs: DataFrame, column: str, *keys: str) -> DataFrame:
+    """Mean and percentiles of run times in ms, and runs per second at the mean."""
+    q = lambda p: F.percentile(column, p)
+    mean = F.avg(column)
+    return runs.groupBy(*keys).agg(F.count(column).alias("runs"), mean.alias("mean_ms"), q(0.5).alias("p50_ms"), q(0.95).alias("p95_ms"), q(0.99).alias("p99_ms"), F.try_divide(F.lit(1000.0), mean).alias("fps"))
+
+
 def histogram_quantile(buckets: DataFrame, q: float, *keys: str) -> DataFrame:
     """The quantile by linear interpolation within cumulative buckets; the last finite bound beyond it; NULL without values."""
     row = buckets.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("le", "n"))).alias("b"))

@@ -303,3 +303,9 @@ def curate_strata(spark, d):
 @query("WITH " + GRID + ', late AS (SELECT sample_token, channel FROM sync WHERE NOT has_keyframe) SELECT channel, count(*) AS n FROM late GROUP BY 1')
 def quality_missing_keyframes(spark, d):
     return timing.sync_grid(grid_frames(spark, d), CHANNELS, "view").where("NOT has_keyframe").groupBy("channel").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("SELECT event_type, count(value) AS runs, round(avg(value), 6) AS mean_ms, round(quantile_cont(value, 0.5), 6) AS p50_ms, round(quantile_cont(value, 0.95), 6) AS p95_ms, round(quantile_cont(value, 0.99), 6) AS p99_ms, round(1000 / avg(value), 6) AS fps FROM events GROUP BY 1")
+def agg_latency_report(spark, d):
+    r = kpi.latency_report(read(spark, d, "events"), "value", "event_type")
+    return r.select("event_type", "runs", *[F.round(c, 6).alias(c) for c in ("mean_ms", "p50_ms", "p95_ms", "p99_ms", "fps")])

@@ -128,6 +128,9 @@ def test_publishing_twice_makes_two_runs(spark, clean):
         jobs.publish(spark, p, f"run-{i}", f"2024-01-0{i} 00:00:00")
     history = out(spark, p, "store/kpi_history")
     n = history.count()
+    assert {"git_commit", "dataset_version", "published_at"} <= set(history.columns) and history.select("dataset_version").distinct().count() == 1
+    jobs.publish_model(spark, p, spark.createDataFrame([("night", "map50", 0.5)], "slice string, metric string, value double"), "m1", "run-1", "2024-01-01 00:00:00")
+    assert {r["metric"] for r in out(spark, p, "store/model_metrics").collect()} >= {"map50", "3d.nds"}
     assert history.select("run_id").distinct().count() == 2 and n == 2 * history.where("run_id = 'run-1'").count()
 
 
