@@ -372,7 +372,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     """``docs`` with the document of least id of each class alone, and all columns as they are."""
     rows, classes = _classes(docs, id_col, text_col)
     marked = rows.join(classes, "tid").select("id", "tid", F.col("id").eqNullSafe(F.col("class_id")).alias("stays"))
-    gone, _ = written(marked.where("NOT stays").select(F.col("id").alias("__id"), F.col("tid").alias("__tid")).distinct(), "gone")
+    gone, _ = written(marked.where("NOT stays").select(F.col("id").alias("__id"), F.col("tid").alias("__tid")), "gone")  # repeated rows do no harm, and without a distinct the join's hot texts can be split
     side = F.broadcast(gone) if small(gone, MAX_BROADCAST_TEXTS) else gone
     kept = docs.withColumn("__key", text_key(F.col(text_col))).join(side, F.col(f"`{id_col}`").eqNullSafe(F.col("__id")) & (F.col("__key") == F.col("__tid")), "left_anti")
     twice = marked.where("stays").groupBy("id", "tid").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
