@@ -68,6 +68,8 @@ def assign_shards(docs: DataFrame, n_shards: int = 24, id_col: str = "doc_id", t
         F.md5(text.cast("binary")).alias("__key"),
         *([F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row")] if carry else []),
     )
+    if not carry:  # texts are read once; the sort's sampling and the sort itself read a few bytes a row
+        rows, _ = written(rows, "sized")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ordered = rows.repartitionByRange(parts, "__key", "__id").sortWithinPartitions("__key", "__id")
     schema = T.StructType([*rows.schema.fields, T.StructField("__pid", T.IntegerType()), *(T.StructField(c, T.LongType()) for c in ("__pos", "__off", "__goff"))])
