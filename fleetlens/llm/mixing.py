@@ -59,16 +59,16 @@ def plan_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
     rest but take none.  Repeated ids share one draw.  An empty table gives an
     empty plan.  Other columns are ignored, whatever their names.
     """
-    size = F.regexp_count(F.coalesce(F.col(text_col), F.lit("")), F.lit(WORD)).cast("long")
-    sizes = docs.select(F.col(source_col).alias("source"), size.alias("size"))
-    targets, _ = written(source_targets(sizes, **rates), "targets")
     rows = docs.select(
         F.col(id_col).alias("__id"),
         F.col(source_col).alias("__source"),
-        size.alias("size"),
+        F.regexp_count(F.coalesce(F.col(text_col), F.lit("")), F.lit(WORD)).cast("long").alias("size"),
         _draw(id_col, text_col).alias("__draw"),
         *([F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")] if carry else []),
     )
+    if not carry:  # words are counted once
+        rows, _ = written(rows, "sized")
+    targets, _ = written(source_targets(rows.select(F.col("__source").alias("source"), "size"), **rates), "targets")
     side = F.broadcast(targets) if small(targets, MAX_BROADCAST_SOURCES) else targets
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     return (
