@@ -2,10 +2,11 @@
 
 Numbers, names and units become typed placeholders, so a question that was only
 re-parameterised keeps its template.  Windows of ``WINDOW`` template tokens of
-all documents are matched by hash against those of the benchmark.  Where enough
-of an item's windows are found, or a long run of them, the slots behind the
+all documents are matched by hash against those of the benchmark.  The windows found
+are put together by alignment into stretches of the document.  Where a stretch
+has enough of an item's windows, or a long run of them, the slots behind the
 placeholders are compared: one value of the item must stand for one value of
-the document throughout.
+the stretch throughout.  One stretch is enough; where none is, all together count.
 
 The benchmark is matched in parts whose size is bounded, so one larger than
 memory takes more passes and not more memory; documents are never shuffled.
@@ -16,6 +17,9 @@ from __future__ import annotations
 import re
 from array import array
 from collections import Counter, defaultdict
+from collections.abc import Callable
+from functools import cache
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -127,7 +131,7 @@ def slot_value(words: list[bytes], at: np.ndarray, kind: np.ndarray, i: int) ->
 
 
 class Index:
-    """A part of the benchmark: windows by hash, and each item's slots."""
+    """A part of the benchmark: windows by hash, and each item's windows and slots."""
 
     def __init__(self, items: list[tuple]):
         canon, post = Canon(), defaultdict(list)
@@ -145,7 +149,7 @@ class Index:
             slots = {i: slot_value(words, at, kind, i) for i in range(len(kind)) if kind[i] != PLAIN}
             for i in use:
                 post[(width, int(w[i]))].append((len(self.items), int(i)))
-            self.items.append((item_id, width, len(set(w[use].tolist())), slots))
+            self.items.append((item_id, width, w, len(set(w[use].tolist())), slots))
         self.widths = sorted({k for k, _ in post})
         self.known = {k: np.array(sorted(x for j, x in post if j == k), dtype=np.uint64) for k in self.widths}
         self.post = dict(post)
@@ -153,7 +157,7 @@ class Index:
     def find(self, canon: Canon, text: str) -> list[tuple]:
         """(item_id, containment, longest run, slot consistency, kind) of each item that the text holds."""
         h, kind, at, words = canon.tokens(text)
-        hits: dict[int, list[tuple[int, int, int]]] = defaultdict(list)
+        hits: dict[int, set[tuple[int, int]]] = defaultdict(set)
         for width in self.widths:
             w, known = windows(h, width), self.known[width]
             if not len(w):
@@ -161,24 +165,90 @@ class Index:
             there = np.flatnonzero(known[np.minimum(np.searchsorted(known, w), len(known) - 1)] == w)
             for d in there.tolist():
                 for item, i in self.post[(width, int(w[d]))]:
-                    hits[item].append((d - i, i, int(w[d])))
-        out = []
-        for item, found in hits.items():
-            item_id, width, total, slots = self.items[item]
-            share = len({x for _, _, x in found}) / total
-            run = longest_run({(g, i) for g, i, _ in found})
-            if share < MIN_CONTAINMENT and run < MIN_RUN:
-                continue
-            pairs = {(g, j) for g, i, _ in found for j in range(i, i + width) if j in slots}
-            votes: dict[str, Counter] = defaultdict(Counter)
-            for g, j in pairs:
-                votes[slots[j]][slot_value(words, at, kind, g + j)] += 1
-            n = sum(c.total() for c in votes.values())
-            agree = sum(max(c.values()) for c in votes.values()) / n if n else 1.0
-            same = all(set(c) == {v} for v, c in votes.items())
-            if agree >= MIN_CONSISTENCY:
-                out.append((item_id, share, run, agree, "verbatim" if same else "reparameterised"))
-        return out
+                    hits[item].add((d - i, i))
+        value = cache(lambda d: slot_value(words, at, kind, d))
+        rows = (self.judge(item, found, value) for item, found in hits.items())
+        return [row for row in rows if row]
+
+    def judge(self, item: int, found: set[tuple[int, int]], value: Callable[[int], str]) -> tuple | None:
+        """The best stretch of the text that holds the item, or else all stretches together if they do."""
+        if not self.enough(item, found):  # then no part is
+            return None
+        parts = stretches(found, len(self.items[item][2]), lambda part: self.votes(item, part, value))
+        held = [row for row in (self.held(item, part, value) for part in parts) if row]
+        if held:
+            return max(held, key=lambda row: (row[1], row[4] == "verbatim", row[2], row[3]))
+        return self.held(item, found, value)
+
+    def enough(self, item: int, found: set[tuple[int, int]]) -> tuple[float, int] | None:
+        """Containment and longest run, if they suffice."""
+        _, _, w, total, _ = self.items[item]
+        share, run = len({int(w[i]) for _, i in found}) / total, longest_run(found)
+        return (share, run) if share >= MIN_CONTAINMENT or run >= MIN_RUN else None
+
+    def votes(self, item: int, found: set[tuple[int, int]], value: Callable[[int], str]) -> dict[str, Counter]:
+        """The text's values that stand for each value of the item."""
+        _, width, _, _, slots = self.items[item]
+        votes: dict[str, Counter] = defaultdict(Counter)
+        for g, j in {(g, j) for g, i in found for j in range(i, i + width) if j in slots}:
+            votes[slots[j]][value(g + j)] += 1
+        return votes
+
+    def held(self, item: int, found: set[tuple[int, int]], value: Callable[[int], str]) -> tuple | None:
+        enough = self.enough(item, found)
+        if not enough:
+            return None
+        votes = self.votes(item, found, value)
+        n = sum(c.total() for c in votes.values())
+        agree = sum(max(c.values()) for c in votes.values()) / n if n else 1.0
+        if agree < MIN_CONSISTENCY:
+            return None
+        same = all(set(c) == {v} for v, c in votes.items())
+        return self.items[item][0], *enough, agree, "verbatim" if same else "reparameterised"
+
+
+def stretches(found: set[tuple[int, int]], span: int, votes: Callable[[set[tuple[int, int]]], dict[str, Counter]]) -> list[set[tuple[int, int]]]:
+    """Hits (offset, window of the item) by alignment: those of one offset, and chains of near offsets.
+
+    A chain goes on in text and item alike, as where words were put in or left
+    out; its offsets move by less than the item's length, so copies one after
+    another stay apart, and its runs agree on the values that they share.
+    """
+    by_offset: dict[int, list[int]] = defaultdict(list)
+    for g, i in found:
+        by_offset[g].append(i)
+    runs = []  # first and last place in the text, first and last window
+    for g, at in by_offset.items():
+        at.sort()
+        cuts = [0, *(k for k in range(1, len(at)) if at[k] != at[k - 1] + 1), len(at)]
+        runs += [(g + at[a], g + at[b - 1], at[a], at[b - 1]) for a, b in pairwise(cuts)]
+    runs.sort()
+    hits = [{(d - i, k) for k in range(i, last + 1)} for d, _, i, last in runs]
+    values = [{v: c.most_common(1)[0][0] for v, c in votes(part).items()} for part in hits]
+    score, before = [], []
+    for r, (d, end, i, last) in enumerate(runs):
+        best, link = 0, None
+        for p in range(r - 1, -1, -1):
+            d0, end0, i0, last0 = runs[p]
+            if d0 < d - 2 * span:  # no nearer one is left
+                break
+            if d0 < d and end0 < end and i0 < i and last0 < last and abs((d - i) - (d0 - i0)) < span and score[p] > best:
+                shared = [v for v in values[r] if v in values[p]]
+                if sum(values[r][v] == values[p][v] for v in shared) >= MIN_CONSISTENCY * len(shared):
+                    best, link = score[p], p
+        score.append(best + last - i + 1)
+        before.append(link)
+    out, used = [{(g, i) for i in at} for g, at in by_offset.items()], set()
+    for r in sorted(range(len(runs)), key=lambda r: -score[r]):
+        if r in used or before[r] is None:
+            continue
+        part, k = set(), r
+        while k is not None:
+            part |= hits[k]
+            used.add(k)
+            k = before[k]
+        out.append(part)
+    return out
 
 
 def longest_run(found: set[tuple[int, int]]) -> int:
