@@ -7,6 +7,8 @@ are put together by alignment into stretches of the document.  Where a stretch
 has enough of an item's windows, or a long run of them, the slots behind the
 placeholders are compared: one value of the item must stand for one value of
 the stretch throughout.  One stretch is enough; where none is, all together count.
+Windows of mostly placeholders count where their values are the item's; with
+other values they only do not break a run.
 
 The benchmark is matched in parts whose size is bounded, so one larger than
 memory takes more passes and not more memory; documents are never shuffled.
@@ -126,8 +128,8 @@ def windows(hashes: np.ndarray, width: int) -> np.ndarray:
 
 
 def slot_value(words: list[bytes], at: np.ndarray, kind: np.ndarray, i: int) -> str:
-    end = at[i + 1] if kind[i] == NAME and i + 1 < len(at) else at[i] + 1
-    return b" ".join(words[at[i] : end]).decode("utf-8", "replace").strip(EDGE).lower()
+    end = at[i] + 1 if kind[i] != NAME else at[i + 1] if i + 1 < len(at) else len(words)
+    return " ".join(filter(None, (w.decode("utf-8", "replace").strip(EDGE).lower() for w in words[at[i] : end])))
 
 
 class Index:
@@ -135,6 +137,7 @@ class Index:
 
     def __init__(self, items: list[tuple]):
         canon, post = Canon(), defaultdict(list)
+        self.heavy: dict[tuple[int, int], dict[tuple, list]] = defaultdict(lambda: defaultdict(list))  # windows of mostly placeholders, by their values too
         self.items = []
         for item_id, text in items:
             h, kind, at, words = canon.tokens(text or "")
@@ -143,59 +146,78 @@ class Index:
                 continue
             w = windows(h, width)
             literal = np.array([int((kind[i : i + width] == PLAIN).sum()) for i in range(len(w))])
-            use = np.flatnonzero(literal * 2 >= width)  # mostly placeholders tell nothing
-            if not len(use):
-                continue
             slots = {i: slot_value(words, at, kind, i) for i in range(len(kind)) if kind[i] != PLAIN}
-            for i in use:
-                post[(width, int(w[i]))].append((len(self.items), int(i)))
-            self.items.append((item_id, width, w, len(set(w[use].tolist())), slots))
-        self.widths = sorted({k for k, _ in post})
-        self.known = {k: np.array(sorted(x for j, x in post if j == k), dtype=np.uint64) for k in self.widths}
+            keys: list = w.tolist()
+            heavy = np.flatnonzero(literal * 2 < width).tolist()  # mostly placeholders: the template alone tells nothing
+            light = len(set(keys[i] for i in np.flatnonzero(literal * 2 >= width).tolist()))
+            for i in heavy:
+                keys[i] = (keys[i], tuple(slots[j] for j in range(i, i + width) if j in slots))
+            for i, key in enumerate(keys):
+                post_of = self.heavy[(width, key[0])][key[1]] if isinstance(key, tuple) else post[(width, key)]
+                post_of.append((len(self.items), i))
+            self.items.append((item_id, width, keys, (len(set(keys)), light), slots, heavy))
+        self.widths = sorted({k for k, _ in [*post, *self.heavy]})
+        self.known = {k: np.array(sorted({x for j, x in [*post, *self.heavy] if j == k}), dtype=np.uint64) for k in self.widths}
         self.post = dict(post)
 
     def find(self, canon: Canon, text: str) -> list[tuple]:
         """(item_id, containment, longest run, slot consistency, kind) of each item that the text holds."""
         h, kind, at, words = canon.tokens(text)
         hits: dict[int, set[tuple[int, int]]] = defaultdict(set)
+        value = cache(lambda d: slot_value(words, at, kind, d))
+        seen = {}
         for width in self.widths:
             w, known = windows(h, width), self.known[width]
+            seen[width] = w
             if not len(w):
                 continue
             there = np.flatnonzero(known[np.minimum(np.searchsorted(known, w), len(known) - 1)] == w)
             for d in there.tolist():
-                for item, i in self.post[(width, int(w[d]))]:
+                at_window = (width, int(w[d]))
+                there_too = self.post.get(at_window, ())
+                if at_window in self.heavy:
+                    there_too = [*there_too, *self.heavy[at_window].get(tuple(value(j) for j in range(d, d + width) if kind[j] != PLAIN), ())]
+                for item, i in there_too:
                     hits[item].add((d - i, i))
-        value = cache(lambda d: slot_value(words, at, kind, d))
-        rows = (self.judge(item, found, value) for item, found in hits.items())
+        rows = (self.judge(item, found, self.bridges(item, found, seen), value) for item, found in hits.items())
         return [row for row in rows if row]
 
-    def judge(self, item: int, found: set[tuple[int, int]], value: Callable[[int], str]) -> tuple | None:
+    def bridges(self, item: int, found: set[tuple[int, int]], seen: dict[int, np.ndarray]) -> set[tuple[int, int]]:
+        """Windows of mostly placeholders whose template is there with other values: they do not count, but do not break a run."""
+        _, width, keys, _, _, heavy = self.items[item]
+        if not heavy:
+            return set()
+        w = seen[width]
+        return {(g, i) for g in {g for g, _ in found} for i in heavy if 0 <= g + i < len(w) and w[g + i] == keys[i][0]} - found
+
+    def judge(self, item: int, found: set[tuple[int, int]], bridges: set[tuple[int, int]], value: Callable[[int], str]) -> tuple | None:
         """The best stretch of the text that holds the item, or else all stretches together if they do."""
-        if not self.enough(item, found):  # then no part is
+        if not self.enough(item, found, bridges):  # then no part is
             return None
         parts = stretches(found, len(self.items[item][2]), lambda part: self.votes(item, part, value))
-        held = [row for row in (self.held(item, part, value) for part in parts) if row]
+        held = [row for row in (self.held(item, part, bridges, value) for part in parts) if row]
         if held:
             return max(held, key=lambda row: (row[1], row[4] == "verbatim", row[2], row[3]))
-        return self.held(item, found, value)
-
-    def enough(self, item: int, found: set[tuple[int, int]]) -> tuple[float, int] | None:
-        """Containment and longest run, if they suffice."""
-        _, _, w, total, _ = self.items[item]
-        share, run = len({int(w[i]) for _, i in found}) / total, longest_run(found)
+        return self.held(item, found, bridges, value)
+
+    def enough(self, item: int, found: set[tuple[int, int]], bridges: set[tuple[int, int]]) -> tuple[float, int] | None:
+        """Containment and longest run, if they suffice; the share is of all windows or of the literal ones, whichever is more."""
+        _, _, keys, (every, light), _, _ = self.items[item]
+        there = {keys[i] for _, i in found}
+        share = max(len(there) / every, sum(not isinstance(k, tuple) for k in there) / max(light, 1))
+        run = longest_run(found, bridges)
         return (share, run) if share >= MIN_CONTAINMENT or run >= MIN_RUN else None
 
     def votes(self, item: int, found: set[tuple[int, int]], value: Callable[[int], str]) -> dict[str, Counter]:
         """The text's values that stand for each value of the item."""
-        _, width, _, _, slots = self.items[item]
+        _, width, _, _, slots, _ = self.items[item]
         votes: dict[str, Counter] = defaultdict(Counter)
         for g, j in {(g, j) for g, i in found for j in range(i, i + width) if j in slots}:
             votes[slots[j]][value(g + j)] += 1
         return votes
 
-    def held(self, item: int, found: set[tuple[int, int]], value: Callable[[int], str]) -> tuple | None:
-        enough = self.enough(item, found)
+    def held(self, item: int, found: set[tuple[int, int]], bridges: set[tuple[int, int]], value: Callable[[int], str]) -> tuple | None:
+        enough = self.enough(item, found, bridges)
         if not enough:
             return None
         votes = self.votes(item, found, value)
@@ -251,13 +273,15 @@ def stretches(found: set[tuple[int, int]], span: int, votes: Callable[[set[tuple
     return out
 
 
-def longest_run(found: set[tuple[int, int]]) -> int:
-    best = 0
-    for g, i in found:
-        if (g, i - 1) not in found:
-            n = 1
-            while (g, i + n) in found:
-                n += 1
+def longest_run(found: set[tuple[int, int]], bridges: set[tuple[int, int]]) -> int:
+    """Most windows found in a row, not counting the bridges between them."""
+    best, every = 0, found | bridges
+    for g, i in every:
+        if (g, i - 1) not in every:
+            n = 0
+            while (g, i) in every:
+                n += (g, i) in found
+                i += 1
             best = max(best, n)
     return best
 

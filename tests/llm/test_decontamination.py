@@ -42,3 +42,19 @@ def test_quotes_far_apart_still_count_together():
     item = prose(50, 30)
     words = item.split()
     assert find([item], " ".join([*words[:11], prose(1, 200), *words[12:23]]))[0][1] >= 0.5
+
+
+def test_items_of_mostly_placeholders_are_found_verbatim_and_only_so():
+    items = ["2, 4, 8, 16, 32, 64?", "3 km + 4 km = 7 km", "From Oslo to Bergen 12 km 5 kg 7 h 9 s Anna"]
+    for k, item in enumerate(items):
+        assert find(items, f"{prose(1, 18)} then {item[0].lower()}{item[1:]} {prose(2, 18)}")[k][4] == "verbatim"
+    assert not find(items[:1], "1, 5, 9, 13, 17, 21, 2, 4, 9, 16, 33, 65")
+
+
+def test_placeholders_in_the_middle_do_not_break_a_run():
+    words = prose(70, 60).lower().replace(".", "").split()
+    item = " ".join([*words[:28], "5 km and 3 kg 7 ml", *words[34:]])
+    quote = item.split()[20:42]
+    assert find([item], f"{prose(1, 30)} {' '.join(quote)} {prose(2, 30)}")[0][4] == "verbatim"
+    other = " ".join(quote).replace("5 km", "6 km").replace("3 kg", "8 kg")
+    assert find([item], f"{prose(1, 30)} {other} {prose(2, 30)}")[0][4] == "reparameterised"
