@@ -8,7 +8,8 @@ has enough of an item's windows, or a long run of them, the slots behind the
 placeholders are compared: one value of the item must stand for one value of
 the stretch throughout.  One stretch is enough; where none is, all together count.
 Windows of mostly placeholders count where their values are the item's; with
-other values they only do not break a run.
+other values they only do not break a run.  Where the windows found hold few
+literal words, all values must be the item's.
 
 The benchmark is matched in parts whose size is bounded, so one larger than
 memory takes more passes and not more memory; documents are never shuffled.
@@ -37,6 +38,8 @@ WINDOW = 5
 MIN_CONTAINMENT, MIN_RUN = 0.5, 9
 #: Share of slot pairs that must agree with one assignment of values.
 MIN_CONSISTENCY = 0.8
+#: Different literal words that the windows found must hold, one more than a window can; with fewer the values must be the item's.
+MIN_LITERAL = 6
 #: Bytes of benchmark text that one pass holds in a worker's memory.
 PART_BYTES = 8 << 20
 #: Distinct words that a task remembers.
@@ -155,7 +158,8 @@ class Index:
             for i, key in enumerate(keys):
                 post_of = self.heavy[(width, key[0])][key[1]] if isinstance(key, tuple) else post[(width, key)]
                 post_of.append((len(self.items), i))
-            self.items.append((item_id, width, keys, (len(set(keys)), light), slots, heavy))
+            plain = {i: int(h[i]) for i in np.flatnonzero(kind == PLAIN).tolist()}
+            self.items.append((item_id, width, keys, (len(set(keys)), light), slots, heavy, plain))
         self.widths = sorted({k for k, _ in [*post, *self.heavy]})
         self.known = {k: np.array(sorted({x for j, x in [*post, *self.heavy] if j == k}), dtype=np.uint64) for k in self.widths}
         self.post = dict(post)
@@ -184,7 +188,7 @@ class Index:
 
     def bridges(self, item: int, found: set[tuple[int, int]], seen: dict[int, np.ndarray]) -> set[tuple[int, int]]:
         """Windows of mostly placeholders whose template is there with other values: they do not count, but do not break a run."""
-        _, width, keys, _, _, heavy = self.items[item]
+        _, width, keys, _, _, heavy, _ = self.items[item]
         if not heavy:
             return set()
         w = seen[width]
@@ -202,7 +206,7 @@ class Index:
 
     def enough(self, item: int, found: set[tuple[int, int]], bridges: set[tuple[int, int]]) -> tuple[float, int] | None:
         """Containment and longest run, if they suffice; the share is of all windows or of the literal ones, whichever is more."""
-        _, _, keys, (every, light), _, _ = self.items[item]
+        _, _, keys, (every, light), *_ = self.items[item]
         there = {keys[i] for _, i in found}
         share = max(len(there) / every, sum(not isinstance(k, tuple) for k in there) / max(light, 1))
         run = longest_run(found, bridges)
@@ -210,13 +214,23 @@ class Index:
 
     def votes(self, item: int, found: set[tuple[int, int]], value: Callable[[int], str]) -> dict[str, Counter]:
         """The text's values that stand for each value of the item."""
-        _, width, _, _, slots, _ = self.items[item]
+        _, width, _, _, slots, *_ = self.items[item]
         votes: dict[str, Counter] = defaultdict(Counter)
         for g, j in {(g, j) for g, i in found for j in range(i, i + width) if j in slots}:
             votes[slots[j]][value(g + j)] += 1
         return votes
 
     def held(self, item: int, found: set[tuple[int, int]], bridges: set[tuple[int, int]], value: Callable[[int], str]) -> tuple | None:
+        item_id, width, _, _, slots, _, plain = self.items[item]
+        if len({plain[j] for _, i in found for j in range(i, i + width) if j in plain}) < MIN_LITERAL:
+            last = len(slots) + len(plain) - 1
+
+            def equal(g: int, j: int) -> bool:  # a name that ends the item may go on in the text
+                return value(g + j) == slots[j] or (j == last and value(g + j).startswith(slots[j] + " "))
+
+            found = {(g, i) for g, i in found if all(equal(g, j) for j in range(i, i + width) if j in slots)}
+            enough = self.enough(item, found, bridges)
+            return (item_id, *enough, 1.0, "verbatim") if enough else None
         enough = self.enough(item, found, bridges)
         if not enough:
             return None
@@ -226,7 +240,7 @@ class Index:
         if agree < MIN_CONSISTENCY:
             return None
         same = all(set(c) == {v} for v, c in votes.items())
-        return self.items[item][0], *enough, agree, "verbatim" if same else "reparameterised"
+        return item_id, *enough, agree, "verbatim" if same else "reparameterised"
 
 
 def stretches(found: set[tuple[int, int]], span: int, votes: Callable[[set[tuple[int, int]]], dict[str, Counter]]) -> list[set[tuple[int, int]]]:

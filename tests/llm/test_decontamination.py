@@ -58,3 +58,12 @@ def test_placeholders_in_the_middle_do_not_break_a_run():
     assert find([item], f"{prose(1, 30)} {' '.join(quote)} {prose(2, 30)}")[0][4] == "verbatim"
     other = " ".join(quote).replace("5 km", "6 km").replace("3 kg", "8 kg")
     assert find([item], f"{prose(1, 30)} {other} {prose(2, 30)}")[0][4] == "reparameterised"
+
+
+def test_short_items_are_not_found_with_other_values():
+    items = ["Who is John Smith?", "What is the capital of France?", "What Color Is The Sky?"]
+    for text in ("They asked who is Mary and left.", "It is the capital of Germany now.", "See what Anna did.", "Now who is John Miller, Anna said."):
+        assert not find(items, text)
+    for k, text in enumerate(("Then who is John Smith? Nobody knew.", "Tell me what is the capital of France, please.", "So what Color Is The Sky? Blue.")):
+        assert find(items, text)[k][4] == "verbatim"
+    assert find(items, "Now who is John Smith, Anna said.")[0][4] == "verbatim"
