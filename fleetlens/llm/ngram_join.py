@@ -339,13 +339,14 @@ def _classes(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, Da
     if not open_edges.isEmpty():
         settled = settled.unionByName(components(open_edges))
     tied = settled.join(reps.select(F.col("tid").alias("node"), "first_id"), "node")
-    heads = tied.groupBy("root").agg(F.min("first_id").alias("class_id"))
-    by_text = tied.join(heads, "root").select(F.col("node").alias("tid"), "class_id").join(counts, "tid", "left")
+    heads = tied.groupBy("root").agg(F.min("first_id").alias("class_id"), F.min(F.struct(F.col("first_id").isNull(), "first_id", "node"))["node"].alias("head"))
+    by_text = tied.join(heads, "root").select(F.col("node").alias("tid"), "class_id", (F.col("node") == F.col("head")).alias("is_head")).join(counts, "tid", "left")
     classes = reps.select("tid", "first_id", "copies").join(by_text.withColumn("in_class", F.lit(True)), "tid", "left")
     classes = classes.select(
         "tid",
         F.when(F.col("in_class"), F.col("class_id")).otherwise(F.col("first_id")).alias("class_id"),
         "first_id",
+        F.coalesce("is_head", F.lit(True)).alias("is_head"),
         "copies",
         F.coalesce("text_links", F.lit(0)).alias("text_links"),
         (F.coalesce("doc_links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
@@ -369,9 +370,13 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with the document of least id of each class alone, and all columns as they are."""
+    """``docs`` with one document of each class alone, and all columns as they are.
+
+    It has the class's least id; where no row has one, or several texts share
+    it, the text of least digest stays.
+    """
     rows, classes = _classes(docs, id_col, text_col)
-    marked = rows.join(classes, "tid").select("id", "tid", F.col("id").eqNullSafe(F.col("class_id")).alias("stays"))
+    marked = rows.join(classes, "tid").select("id", "tid", (F.col("is_head") & F.col("id").eqNullSafe(F.col("class_id"))).alias("stays"))
     gone, _ = written(marked.where("NOT stays").select(F.col("id").alias("__id"), F.col("tid").alias("__tid")), "gone")  # repeated rows do no harm, and without a distinct the join's hot texts can be split
     side = F.broadcast(gone) if small(gone, MAX_BROADCAST_TEXTS) else gone
     kept = docs.withColumn("__key", text_key(F.col(text_col))).join(side, F.col(f"`{id_col}`").eqNullSafe(F.col("__id")) & (F.col("__key") == F.col("__tid")), "left_anti")
