@@ -18,3 +18,15 @@ def test_one_text_of_a_class_stays_without_ids_or_with_a_shared_one(spark):
     assert [i for i, t in got if t in near[1]] == [5]
     assert [(i, t) for i, t in got if t in near[2]] == [(7, near[2][2])]
     assert {t for _, t in got} >= {prose(9), prose(10), prose(11)} and len(got) == 6
+
+
+def test_decisions_drop_no_more_true_links_than_stated():
+    for s, most in ((0.8, 1e-5), (0.81, 4e-6)):
+        p = s + (1 - s) / 256
+        step = np.array([comb(ngram_join.STEP, k) * p**k * (1 - p) ** (ngram_join.STEP - k) for k in range(ngram_join.STEP + 1)])
+        alive, dropped = np.ones(1), 0.0
+        for least in ngram_join.FEWEST:
+            alive = np.convolve(alive, step)
+            dropped += alive[:least].sum()
+            alive[:least] = 0
+        assert dropped <= most
