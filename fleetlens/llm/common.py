@@ -2,24 +2,24 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
 import weakref
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import ship
 
-#: Rows that a Python pass handles at a time; bounds its memory.
-SLICE_ROWS = 512
-
-
-#: Rows that Spark hands to Python at a time, where the session has its default.
-BATCH_ROWS = 2000
+#: Rows, and bytes of their strings, that a Python pass handles at a time; one longer row stands alone.
+#: Spark itself bounds what it hands over by ``spark.sql.execution.arrow.maxBytesPerBatch``.
+SLICE_ROWS, SLICE_BYTES = 512, 8 << 20
 
 
 class Memo(dict):
@@ -51,27 +51,65 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share (``spark.checkpoint.dir``).
 
-    Only where the session names none, as in tests on one machine, a temporary
-    folder is set.
+    On a local master that names none, as in tests, a temporary folder is set.
+    Elsewhere that would lose rows, so it is an error.
     """
-    found = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    found = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not found:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="fleetlens-"))
-        found = spark.sparkContext.getCheckpointDir()
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="fleetlens-"))
+        found = sc.getCheckpointDir()
     return found
 
 
 def fresh_path(spark: SparkSession, what: str) -> str:
-    return f"{shared_dir(spark)}/fleetlens-{what}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/fleetlens-{spark.sparkContext.applicationId}/{what}-{uuid.uuid4().hex}"
+    if _open:
+        _open[-1].append(path)
+    return path
+
+
+#: Paths made inside each open ``scratch``.
+_open: list[list[str]] = []
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables written inside are removed at the end; what is to stay must have been written outside by then.
+
+    Tables that a returned plan still reads stay until ``clear`` or until the
+    folder of the application is removed.
+    """
+    _open.append([])
+    try:
+        yield
+    finally:
+        for path in _open.pop():
+            drop(spark, path)
+
 
+def clear(spark: SparkSession) -> None:
+    """Removes all tables that this application has left; no result may be read after it."""
+    drop(spark, f"{shared_dir(spark)}/fleetlens-{spark.sparkContext.applicationId}")
 
-def written(df: DataFrame, what: str) -> tuple[DataFrame, str]:
+
+def written(df: DataFrame, what: str, path: str | None = None) -> tuple[DataFrame, str]:
     """``df`` as a table in the shared folder, and the table's path: lineage ends here."""
-    spark, path = df.sparkSession, fresh_path(df.sparkSession, what)
+    spark, path = df.sparkSession, path or fresh_path(df.sparkSession, what)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path), path
 
 
+def free(df: DataFrame, name: str) -> str:
+    """``name``, or a longer one if ``df`` has a column of that name."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def drop(spark: SparkSession, path: str) -> None:
     """Removes a written table that no later plan reads."""
     jvm = spark._jvm
@@ -93,21 +131,33 @@ def small(df: DataFrame, max_rows: int, max_bytes: int = 64 << 20) -> bool:
     return n <= max_rows and b <= max_bytes
 
 
+def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Parts of at most SLICE_ROWS rows and, unless one row is longer, SLICE_BYTES bytes of strings."""
+    size = np.zeros(batch.num_rows, np.int64)
+    for c in batch.columns:
+        for leaf in c.flatten() if pa.types.is_struct(c.type) else [c]:
+            if pa.types.is_string(leaf.type) or pa.types.is_binary(leaf.type):
+                size += pc.fill_null(pc.binary_length(leaf), 0).to_numpy(zero_copy_only=False)
+    end, at = np.cumsum(size), 0
+    while at < batch.num_rows:
+        fits = int(np.searchsorted(end, (end[at - 1] if at else 0) + SLICE_BYTES, "right"))
+        upto = min(max(fits, at + 1), at + SLICE_ROWS)
+        yield batch.slice(at, upto - at)
+        at = upto
+
+
 def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: T.StructType) -> DataFrame:
-    """``fn`` over slices of at most SLICE_ROWS rows, so that memory stays bounded."""
+    """``fn`` over ``slices``, so that memory stays bounded."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, SLICE_ROWS):
-                out = fn(batch.slice(at, SLICE_ROWS))
+            for part in slices(batch):
+                out = fn(part)
                 if out is not None:
                     yield out
         forget()
 
     ship(df.sparkSession)
-    conf = df.sparkSession.conf
-    if conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000") == "10000":
-        conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     return df.mapInArrow(run, schema)
 
 
