@@ -5,7 +5,8 @@ all.  Expectation maximisation over the counts of vote patterns, of which there
 are at most ``3 ** len(LABELLERS)`` whatever the corpus, estimates how often
 each labeller is right and how common bad documents are; no true label is
 read.  The posteriors of a bounded sample then train a linear scorer on hashed
-features, which scores every document.
+features, which scores every document: shapes of its words, pairs of its
+characters' bytes, and bands of the statistics.
 """
 
 from __future__ import annotations
@@ -25,8 +26,8 @@ from .textstats import duplicate_lines, repeated_words, symbol_count, word_char_
 
 #: Documents, chosen by a hash of their id, that train the scorer; all if there are fewer.
 TRAIN_DOCS = 6000
-#: Buckets of hashed features.
-BUCKETS = 2048
+#: Buckets of hashed shapes and bands, and of hashed pairs of bytes, which stand behind them.
+BUCKETS, PAIRS = 2048, 512
 #: How right labellers are taken to be at first, and the share of documents whose weight that has.
 PRIOR_RIGHT, PRIOR_SHARE = 0.9, 0.05
 #: Score from which a document is kept.
@@ -75,12 +76,10 @@ class Words(Memo):
             shape = pattern.sub(mark, shape)
         last = text.rstrip("\"')]}”’»")[-1:] or "."
         odd = not (last.isalnum() or last in _USUAL_ENDS) or text.endswith("!!")
-        out = self[word] = bool(_LETTER.search(text)), odd, bucket(f"shape {shape[:12]}")
+        out = self[word] = bool(_LETTER.search(text)), odd, bucket(f"shape {shape}")
         return out
 
 
-
-
 def bucket(feature: str) -> int:
     return zlib.crc32(feature.encode("utf-8", "surrogatepass")) % BUCKETS
 
@@ -91,7 +90,7 @@ _words = Words()
 
 
 def describe(text: str) -> tuple[dict[str, float], np.ndarray, np.ndarray]:
-    """Statistics of one text, and the buckets of its words' shapes with their shares."""
+    """Statistics of one text, and the buckets of its words' shapes and its pairs of bytes with their values."""
     if len(_words) > MEMORY:
         _words.clear()
     words, raw = words_of(text), text.encode("utf-8", "surrogatepass")
@@ -116,9 +115,21 @@ def describe(text: str) -> tuple[dict[str, float], np.ndarray, np.ndarray]:
         "odd_ends": float(times[odd].sum()) / max(n, 1) if n else 0.0,
         "packs": len(zlib.compress(raw, 1)) / max(len(raw), 1),
     }
-    share = np.bincount(shape, weights=times, minlength=0) / max(n, 1) if n else np.zeros(0)
-    at = np.flatnonzero(share)
-    return stats, at, share[at]
+    value = np.zeros(BUCKETS + PAIRS)
+    if n:
+        value[:BUCKETS] = np.bincount(shape, weights=times, minlength=BUCKETS) * (4 / n)
+    value[BUCKETS:] = pairs(raw)
+    at = np.flatnonzero(value)
+    return stats, at, value[at]
+
+
+def pairs(raw: bytes) -> np.ndarray:
+    """Square roots of the shares of each bucket of neighbouring bytes."""
+    b = np.frombuffer(raw, np.uint8).astype(np.uint16)
+    if len(b) < 2:
+        return np.zeros(PAIRS)
+    key = (((b[:-1] << np.uint16(8)) | b[1:]) * np.uint16(40503)) >> np.uint16(16 - PAIRS.bit_length() + 1)
+    return np.sqrt(np.bincount(key, minlength=PAIRS) / len(key))
 
 
 def vote_pattern(stats: dict[str, float]) -> str:
@@ -127,9 +138,9 @@ def vote_pattern(stats: dict[str, float]) -> str:
 
 
 def features(stats: dict[str, float], at: np.ndarray, share: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashed features: shares of word shapes, and each statistic's band."""
+    """Hashed features: those of ``describe``, and each statistic's band."""
     bands = [bucket(f"{k} {int(np.log2(1 + stats[k]) * 2) if k in ('n_words', 'word_len', 'variety') else int(stats[k] * 20)}") for k in STATS]
-    return np.concatenate([at, bands]).astype(np.int32), np.concatenate([share * 4, np.ones(len(bands))])
+    return np.concatenate([at, bands]).astype(np.int16), np.concatenate([share, np.ones(len(bands))]).astype(np.float16)
 
 
 def fit_labellers(counts: dict[str, int], rounds: int = 100, prior_bad: float = 0.2) -> tuple[dict[str, float], np.ndarray, float]:
@@ -160,13 +171,13 @@ def fit_labellers(counts: dict[str, int], rounds: int = 100, prior_bad: float =
 
 def fit_scorer(rows: list[tuple[np.ndarray, np.ndarray]], good: np.ndarray, rounds: int = 150, rate: float = 0.3, shrink: float = 1e-4) -> tuple[np.ndarray, float]:
     """Logistic regression on soft labels by full-batch Adagrad."""
-    w, b = np.zeros(BUCKETS), 0.0
+    w, b = np.zeros(BUCKETS + PAIRS), 0.0
     if not rows:
         return w, b
-    x = np.zeros((len(rows), BUCKETS), dtype=np.float32)
+    x = np.zeros((len(rows), len(w)), dtype=np.float32)
     for i, (at, value) in enumerate(rows):
         np.add.at(x[i], at, value)
-    g2, gb2 = np.full(BUCKETS, 1e-8), 1e-8
+    g2, gb2 = np.full(len(w), 1e-8), 1e-8
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-(x @ w.astype(np.float32) + b)))
         gap = (p - good) / len(good)
@@ -189,41 +200,48 @@ class Model:
         return 1 - self.bad.get(votes, self.share)
 
     def score(self, at: np.ndarray, value: np.ndarray) -> float:
-        return float(1 / (1 + np.exp(-np.clip(self.w[at] @ value + self.b, -30, 30))))
+        return float(1 / (1 + np.exp(-np.clip(self.w[at] @ value.astype(float) + self.b, -30, 30))))
 
-    def keeps(self, text: str) -> bool:
-        return self.score(*features(*describe(text))) >= KEEP_FROM
 
+_MEASURED = [("votes", T.StringType()), ("at", T.BinaryType()), ("value", T.BinaryType())]
 
-_MEASURED = [T.StructField("votes", T.StringType()), T.StructField("at", T.BinaryType()), T.StructField("value", T.BinaryType())]
 
+def measure(docs: DataFrame, key: str, text_col: str = "text", carry: bool = False) -> DataFrame:
+    """Votes and hashed features of every row, and ``id``, its column ``key``; written once.
 
-def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id, votes and hashed features of every row: a few hundred bytes each, written once."""
+    With ``carry``, the row's own columns too, named c0, c1 and so on.
+    """
+    own = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)] if carry else []
+    body = f"c{docs.columns.index(text_col)}" if carry else "text"
+    rows = docs.select(F.col(key).alias("id"), *(own or [F.col(text_col).alias("text")]))
+    kept = [f for f in rows.schema.fields if f.name != "text"]
 
     def measured(batch: pa.RecordBatch) -> pa.RecordBatch:
         out = []
-        for t in texts(batch):
+        for t in texts(batch, body):
             stats, at, share = describe(t)
             i, v = features(stats, at, share)
-            out.append((vote_pattern(stats), i.astype(np.int16).tobytes(), v.astype(np.float32).tobytes()))
+            out.append((vote_pattern(stats), i.tobytes(), v.tobytes()))
         votes, at, value = zip(*out, strict=True)
-        return pa.RecordBatch.from_arrays([batch.column("id"), pa.array(votes), pa.array(at, pa.binary()), pa.array(value, pa.binary())], names=["id", "votes", "at", "value"])
+        return pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in kept), pa.array(votes), pa.array(at, pa.binary()), pa.array(value, pa.binary())], names=[*(f.name for f in kept), "votes", "at", "value"])
 
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return written(arrow_map(rows, measured, T.StructType([field(docs, id_col, "id"), *_MEASURED])), "measured")[0]
+    return written(arrow_map(rows, measured, T.StructType([*kept, *(T.StructField(*f) for f in _MEASURED)])), "measured")[0]
 
 
 def _features(at: bytes, value: bytes) -> tuple[np.ndarray, np.ndarray]:
-    return np.frombuffer(at, np.int16), np.frombuffer(value, np.float32)
+    return np.frombuffer(at, np.int16), np.frombuffer(value, np.float16)
 
 
 def train(measured: DataFrame) -> Model:
+    """The model of a measured table.
+
+    The scorer learns from the TRAIN_DOCS rows that come first by a hash of
+    their id and features, so rows without ids are drawn like others.
+    """
     counts = {r["votes"]: r["n"] for r in measured.groupBy("votes").agg(F.count(F.lit(1)).alias("n")).collect()}  # 3 ** len(LABELLERS) rows at most
     bad, right, share = fit_labellers(counts)
-    n = sum(counts.values())
-    chosen = measured if n <= TRAIN_DOCS else measured.where(F.pmod(F.xxhash64("id", F.lit("scorer")), F.lit(1 << 40)) < int((1 << 40) * TRAIN_DOCS / n)).limit(2 * TRAIN_DOCS)
-    sample = sorted(chosen.select("votes", "at", "value").collect())  # about TRAIN_DOCS rows
+    line = F.xxhash64("id", "votes", "at", "value", F.lit("scorer"))
+    sample = measured.select("votes", "at", "value").orderBy(line, "votes", "at", "value").limit(TRAIN_DOCS).collect()
     w, b = fit_scorer([_features(r["at"], r["value"]) for r in sample], np.array([1 - bad[r["votes"]] for r in sample]))
     return Model(bad, right, share, w, b)
 
@@ -231,9 +249,11 @@ def train(measured: DataFrame) -> Model:
 def score_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: id, ``votes``, ``posterior`` (P(good) by the labellers), ``score`` and ``kept``.
 
-    Null and empty texts are judged as texts without words.  Equal texts get
-    equal scores.  An empty table trains nothing and gives an empty result.
-    Other columns are ignored.
+    Null and empty texts are judged as texts without words.  Very long texts
+    are read whole.  Null and repeated ids do no harm; equal texts get equal
+    scores; a score of exactly KEEP_FROM is kept.  An
+    empty table trains nothing and gives an empty result.  Other columns are
+    ignored, whatever their names.
     """
     measured = measure(docs, id_col, text_col)
     shared = docs.sparkSession.sparkContext.broadcast(train(measured))
@@ -251,6 +271,17 @@ def score_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 
 def keep_good(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without the documents that the classifier rejects, with all columns as they are."""
-    shared = docs.sparkSession.sparkContext.broadcast(train(measure(docs, id_col, text_col)))
-    return arrow_map(docs, lambda b: b.filter(pa.array([shared.value.keeps(t) for t in texts(b, text_col)], pa.bool_())), docs.schema)
+    """``docs`` without the documents that the classifier rejects, with all columns as they are.
+
+    Each text is described once: its row is written beside its features.
+    Awkward rows are judged as in ``score_quality``.
+    """
+    measured = measure(docs, id_col, text_col, carry=True)
+    shared = docs.sparkSession.sparkContext.broadcast(train(measured))
+    own = [T.StructField(f"c{i}", f.dataType, True) for i, f in enumerate(docs.schema.fields)]
+
+    def good(batch: pa.RecordBatch) -> pa.RecordBatch:
+        keep = [shared.value.score(*_features(a, v)) >= KEEP_FROM for a, v in zip(batch.column("at").to_pylist(), batch.column("value").to_pylist(), strict=True)]
+        return batch.select([f.name for f in own]).filter(pa.array(keep, pa.bool_()))
+
+    return arrow_map(measured, good, T.StructType(own)).toDF(*docs.columns)
