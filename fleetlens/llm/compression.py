@@ -18,7 +18,7 @@ from .common import arrow_map, field, texts
 from .textstats import duplicate_lines, repeated_words, symbol_count, word_char_count, word_ids, words_of
 
 LEVEL = 3
-#: Bytes of a chunk; the last chunk takes the rest and is judged if at least half as long.
+#: Bytes of a chunk; a rest shorter than half of it is judged with the chunk before.
 CHUNK = 4096
 #: Upper end of a length class in bytes, and the lowest and highest ratio kept in it.  Short
 #: texts have little to repeat and carry the frame's bytes, so limits fall with length; the lower
@@ -49,7 +49,7 @@ def measure(text: str, compress) -> tuple:
     ratio = len(compress(raw)) / len(raw) if raw else None
     pieces = [raw[i : i + CHUNK] for i in range(0, len(raw), CHUNK)] if len(raw) > CHUNK else []
     if pieces and len(pieces[-1]) * 2 < CHUNK:
-        pieces.pop()
+        pieces[-2:] = [pieces[-2] + pieces[-1]]
     bad = sum(not CHUNK_BAND[0] <= len(compress(p)) / len(p) <= CHUNK_BAND[1] for p in pieces)
     kept = not failed and ratio is not None and bad <= MAX_BAD_CHUNKS * len(pieces)
     if kept:
@@ -62,7 +62,9 @@ def compression_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     """Per row: id and the fields of SCHEMA for its whole text.
 
     Null and empty texts have no words, fail the base rules and have no ratio.
-    Repeated rows are judged alike; other columns are ignored.
+    Very long texts are compressed whole and in all their chunks.  A ratio at a
+    band's end is inside it.  Repeated rows are judged alike; an empty table
+    gives an empty result; other columns are ignored, whatever their names.
     """
     made: list = []  # one compressor a worker
 
