@@ -5,15 +5,17 @@ partitioned so that even a text that a third of all rows share spreads over
 tasks.  Each partition sums its own bytes; the prefix sums of these totals, one
 row a partition, turn local offsets into global ones, and shards are cut at
 equal byte targets.  A row goes to the shard that holds its middle byte.  Equal
-texts are neighbours; a group of them lighter than ``1 / GROUP_SHARE`` of a
-shard stays whole, at the shard of its first row, and heavier ones are cut.
+texts are neighbours: a group of them no heavier than a shard's target stays
+whole, in the shard of its first row; a heavier one is cut where shards end.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -24,28 +26,20 @@ from .common import written
 
 #: Bytes that each document weighs beside its text.
 ROW_BYTES = 8
-#: Groups of equal texts lighter than this part of a shard stay whole.
-GROUP_SHARE = 100
 
 
 def _offsets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Adds each row's place and byte offset, and its group's offset, within the sorted partition."""
-    import numpy as np
-
     pid, pos, at, last, start = TaskContext.get().partitionId(), 0, 0, None, 0
     for batch in batches:
         n = batch.num_rows
         if not n:
             continue
-        size = batch.column("__size").to_numpy()
+        size, keys = batch.column("__size").to_numpy(), batch.column("__key")
         off = at + np.concatenate(([0], np.cumsum(size)[:-1]))
-        keys = batch.column("__key").to_pylist()
-        group = np.empty(n, dtype=np.int64)
-        for i, key in enumerate(keys):
-            if key != last:
-                last, start = key, int(off[i])
-            group[i] = start
-        at = int(off[-1] + size[-1])
+        new = np.concatenate(([keys[0].as_py() != last], pc.not_equal(keys.slice(1), keys.slice(0, n - 1)).to_numpy(zero_copy_only=False)))
+        group = np.maximum.accumulate(np.where(new, off, start))  # offsets grow, so the last start counts
+        last, start, at = keys[n - 1].as_py(), int(group[-1]), int(off[-1] + size[-1])
         made = [pa.array(np.full(n, pid), pa.int32()), pa.array(np.arange(pos, pos + n)), pa.array(off), pa.array(group)]
         pos += n
         yield pa.RecordBatch.from_arrays([*batch.columns, *made], names=[*batch.schema.names, "__pid", "__pos", "__off", "__goff"])
@@ -55,8 +49,9 @@ def assign_shards(docs: DataFrame, n_shards: int = 24, id_col: str = "doc_id", t
     """One row a row of ``docs``: id, size, text_crc32, shard and slot; with ``carry``, its own columns too, as the struct ``row``.
 
     Null text weighs as the empty text (``ROW_BYTES``); a null id sorts first.
-    Rows equal in text and id are interchangeable.  An empty table gives an
-    empty result.  Other columns are ignored, whatever their names.
+    Very long texts are rows like others: a shard may exceed its target by half
+    a row or group.  Rows equal in text and id are interchangeable.  An empty
+    table gives an empty result.  Other columns are ignored, whatever their names.
     """
     spark = docs.sparkSession
     ship(spark)
@@ -77,32 +72,31 @@ def assign_shards(docs: DataFrame, n_shards: int = 24, id_col: str = "doc_id", t
 
     # One row a partition from here: no more rows than partitions.
     by_pid, before = Window.orderBy("__pid"), Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
-    parts_df = (
-        placed.groupBy("__pid")
-        .agg(
+    stats, _ = written(
+        placed.groupBy("__pid").agg(
             F.sum("__size").alias("__bytes"),
             F.count(F.lit(1)).alias("__rows"),
             F.min("__key").alias("__first"),
             F.max("__key").alias("__last"),
             F.max("__goff").alias("__last_goff"),
-        )
-        .withColumn("__base", F.coalesce(F.sum("__bytes").over(before), F.lit(0)))
+            F.min(F.when(F.col("__goff") > 0, F.col("__goff"))).alias("__first_bytes"),
+        ),
+        "stats",
+    )
+    total = stats.agg(F.coalesce(F.sum("__bytes"), F.lit(0)).cast("long")).first()[0]
+    parts_df = (
+        stats.withColumn("__base", F.coalesce(F.sum("__bytes").over(before), F.lit(0)))
         .withColumn("__nth", F.coalesce(F.sum("__rows").over(before), F.lit(0)))
-        .withColumn("__total", F.sum("__bytes").over(Window.partitionBy()))
         .withColumn("__goes_on", F.col("__first").eqNullSafe(F.lag("__last").over(by_pid)))
         .withColumn("__opens", F.when(~(F.col("__goes_on") & (F.col("__first") == F.col("__last"))), F.col("__base") + F.col("__last_goff")))
         .withColumn("__open_at", F.last("__opens", ignorenulls=True).over(before))
-        .select("__pid", "__base", "__nth", "__total", "__open_at", F.when(F.col("__goes_on"), F.col("__first")).alias("__open_key"))
+        .select("__pid", "__base", "__nth", "__open_at", F.when(F.col("__goes_on"), F.col("__first")).alias("__open_key"))
     )
+    heavy = _heavy(placed, stats, total, n_shards)
     off, group = F.col("__base") + F.col("__off"), F.when(F.col("__key") == F.col("__open_key"), F.col("__open_at")).otherwise(F.col("__base") + F.col("__goff"))
-    anchor = F.when((off - group) * (n_shards * GROUP_SHARE) < F.col("__total"), group).otherwise(off)
-    shard = F.least(F.lit(n_shards - 1), F.floor(((anchor * 2 + F.col("__size")) * n_shards).cast("decimal(38,0)") / (F.col("__total") * 2)).cast("int"))
-    sharded = (
-        placed.join(F.broadcast(parts_df), "__pid")
-        .withColumn("__anchor", anchor)
-        .withColumn("shard", shard)
-        .withColumn("__nth_row", F.col("__nth") + F.col("__pos"))
-    )
+    anchor = F.when(F.col("__key").isin(heavy), off).otherwise(group) if heavy else group
+    shard = F.least(F.lit(n_shards - 1), F.floor(((anchor * 2 + F.col("__size")) * n_shards).cast("decimal(38,0)") / (F.lit(max(total, 1)) * 2)).cast("int"))
+    sharded = placed.join(F.broadcast(parts_df), "__pid").withColumn("shard", shard).withColumn("__nth_row", F.col("__nth") + F.col("__pos"))
     firsts = sharded.groupBy("shard").agg(F.min("__nth_row").alias("__first_row"))  # n_shards rows at most
     return sharded.join(F.broadcast(firsts), "shard").select(
         F.col("__id").alias(id_col),
@@ -112,3 +106,16 @@ def assign_shards(docs: DataFrame, n_shards: int = 24, id_col: str = "doc_id", t
         (F.col("__nth_row") - F.col("__first_row")).alias("slot"),
         *([F.col("__row").alias("row")] if carry else []),
     )
+
+
+def _heavy(placed: DataFrame, stats: DataFrame, total: int, n_shards: int) -> list[str]:
+    """Keys of groups heavier than a shard's target; there are fewer than ``n_shards``.
+
+    Such a group is seen inside one partition, or as the first or last group
+    of several.
+    """
+    within = placed.where((F.col("__off") - F.col("__goff") + F.col("__size")) * n_shards > total).select("__key").distinct()
+    first = F.struct(F.col("__first").alias("key"), F.coalesce("__first_bytes", "__bytes").alias("bytes"))
+    last = F.when(F.col("__first") != F.col("__last"), F.struct(F.col("__last").alias("key"), (F.col("__bytes") - F.col("__last_goff")).alias("bytes")))
+    across = stats.select(F.explode(F.array_compact(F.array(first, last))).alias("end")).groupBy("end.key").agg(F.sum("end.bytes").alias("bytes")).where(F.col("bytes") * n_shards > total)
+    return sorted(r[0] for r in within.union(across.select("key")).distinct().collect())
