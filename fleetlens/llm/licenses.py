@@ -7,10 +7,11 @@ meets with probability ``1 - (1 - s) ** BANDS`` (above 0.99998 from s = 0.5).
 A band can only agree if the text window holds the template window's smallest
 shingle under that band, so windows without any such shingle are skipped before
 they are MinHashed; this loses nothing.  Retrieved templates are verified by
-the exact containment of their shingles, as strings, in the text around.
+the exact containment of their shingles, as strings, in the whole text.
 
-Documents are never shuffled whole: what is exploded and joined are the windows
-around shingles that templates have.
+Documents are never shuffled: what is exploded and joined are windows around
+shingles that templates have, and of the text itself only which of the
+templates' shingles it holds and where each first stands.
 """
 
 from __future__ import annotations
@@ -91,13 +92,13 @@ def covering(at: Column, kind: int, width: int, stride: int) -> Column:
 
 
 def template_windows(spark: SparkSession, templates: dict[str, str]) -> DataFrame:
-    """template, its shingle strings, a window's width class, band and value; size fixed by the templates."""
+    """template, its distinct shingles, a window's width class, band and value; size fixed by the templates."""
     rows = F.array(*[F.struct(F.lit(k).alias("template"), F.lit(v).alias("body")) for k, v in templates.items()])
     base = (
         spark.range(1)
         .select(F.inline(rows))
         .withColumn("w", words(F.col("body")))
-        .select("template", shingle_strings(F.col("w")).alias("shingles"), shingle_hashes(F.col("w")).alias("h"))
+        .select("template", F.array_distinct(shingle_strings(F.col("w"))).alias("shingles"), shingle_hashes(F.col("w")).alias("h"))
         .where("size(h) > 0")
     )
     parts = []
@@ -113,45 +114,36 @@ def template_windows(spark: SparkSession, templates: dict[str, str]) -> DataFram
 
 
 def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """A row for each document and template that it holds: id, template, containment and the first word of the best place.
+    """A row for each document and template that it holds: id, template, containment, and the word where the first of its shingles stands.
 
     Documents without a template, or with null text or fewer than SHINGLE
-    words, have no row; templates that short are never found.  Rows that share
-    an id are reported as one.  Other columns are ignored.
+    words, have no row; templates that short are never found.  Texts of any
+    length are scanned whole.  Every row of ``docs`` is reported by itself,
+    whether its id is null, repeated or neither.  A containment of exactly
+    MIN_CONTAINMENT suffices.  An empty table gives an empty result.  Other
+    columns are ignored, whatever their names.
     """
     spark = docs.sparkSession
     keys = template_windows(spark, templates or TEMPLATES)
     masks = F.transform(F.sequence(F.lit(1), F.lit(BANDS)), lambda k: F.xxhash64(F.lit("band"), k))
-    # The template windows' smallest shingles: bound by the templates' length.
+    # The template windows' smallest shingles, and all shingles: bound by the templates' length.
     minima = sorted({r[0] for r in keys.select(F.col("value").bitwiseXOR(F.get(masks, F.col("band")))).distinct().collect()})
-    longest = max([r[0] for r in keys.select(F.max(F.size("shingles"))).collect() if r[0]], default=0)
+    shingles = {r[0]: r[1] for r in keys.select(F.explode("shingles").alias("s")).distinct().select("s", F.xxhash64(*[F.get(F.split("s", " "), F.lit(i)) for i in range(SHINGLE)])).collect()}
     if not minima:
         return docs.select(F.col(id_col), F.lit("").alias("template"), F.lit(0.0).alias("containment"), F.lit(0).alias("first_word")).limit(0)
-    places = lambda h: F.filter(F.transform(h, lambda x, i: F.when(x.isin(minima), i)), lambda i: i.isNotNull())
-    seen = let(words(F.col(text_col)), lambda w: let(shingle_hashes(w), lambda h: F.struct(w.alias("w"), h.alias("h"), places(h).alias("at"))))
-    near = docs.select(F.col(id_col).alias("__id"), seen.alias("x")).where("size(x.at) > 0").select("__id", "x.*")
+    places = lambda h, known: F.filter(F.transform(h, lambda x, i: F.when(x.isin(known), i)), lambda i: i.isNotNull())
+    at_string = lambda w, i: F.concat_ws(" ", *[F.get(w, i + k) for k in range(SHINGLE)])
+    # Each shingle of a template that the text holds, by its string, with its first place: no more than templates have.
+    held = lambda w, h: let(
+        F.transform(places(h, sorted(shingles.values())), lambda i: F.struct(at_string(w, i).alias("s"), i.alias("i"))),
+        lambda found: let(F.transform(found, lambda f: f["s"]), lambda all_: F.filter(F.transform(F.array_distinct(all_), lambda s: F.struct(s.alias("s"), F.get(found, (F.array_position(all_, s) - 1).cast("int"))["i"].alias("i"))), lambda f: f["s"].isin(sorted(shingles)))),
+    )
+    seen = let(words(F.col(text_col)), lambda w: let(shingle_hashes(w), lambda h: let(places(h, minima), lambda at: F.struct(h.alias("h"), at.alias("at"), F.when(F.size(at) > 0, held(w, h)).alias("held")))))
+    near = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("__id"), seen.alias("x")).where("size(x.at) > 0").select("row", "__id", "x.*")
     # Window starts (class, offset) on the class's grid that cover such a shingle.
     starts = F.array_distinct(F.flatten(F.array(*[covering(F.col("at"), k, width, stride) for k, (width, stride, _) in enumerate(WINDOWS)])))
     width_of = F.element_at(F.array(*[F.lit(w) for w, _, _ in WINDOWS]), F.col("s.class") + 1)
-    first = F.greatest(F.col("s.start") - longest, F.lit(0))
-    windows = (
-        near.select("__id", "w", "h", F.explode(starts).alias("s"))
-        .where("s.start >= 0")
-        .select(
-            "__id",
-            F.col("s.class").alias("class"),
-            first.alias("first"),
-            F.slice("h", F.col("s.start") + 1, width_of).alias("window"),
-            F.slice("w", first + 1, F.col("s.start") - first + width_of + longest + SHINGLE - 1).alias("around"),
-        )
-        .where("size(window) > 0")
-    )
-    found = windows.select("__id", "class", "first", "around", F.posexplode(minhash(F.col("window"))).alias("band", "value")).join(F.broadcast(keys), ["class", "band", "value"])
-    held = (
-        found.dropDuplicates(["__id", "template", "first", "around"])
-        .withColumn("own", shingle_strings(F.col("around")))
-        .withColumn("containment", F.size(F.array_intersect("shingles", "own")) / F.size(F.array_distinct("shingles")))
-        .where(F.col("containment") >= MIN_CONTAINMENT)
-        .withColumn("first_word", F.col("first") + F.array_min(F.filter(F.transform("own", lambda x, i: F.when(F.array_contains("shingles", x), i)), lambda i: i.isNotNull())))
-    )
-    return held.groupBy(F.col("__id").alias(id_col), "template").agg(F.max("containment").alias("containment"), F.min_by("first_word", F.struct(-F.col("containment"), "first_word")).alias("first_word"))
+    windows = near.select("row", "__id", "held", "h", F.explode(starts).alias("s")).where("s.start >= 0").select("row", "__id", "held", F.col("s.class").alias("class"), F.slice("h", F.col("s.start") + 1, width_of).alias("window")).where("size(window) > 0")
+    found = windows.select("row", "__id", "held", "class", F.posexplode(minhash(F.col("window"))).alias("band", "value")).join(F.broadcast(keys), ["class", "band", "value"])
+    verified = found.select("row", "__id", "template", F.size("shingles").alias("n"), F.filter("held", lambda f: F.array_contains(F.col("shingles"), f["s"])).alias("own")).where(F.size("own") >= MIN_CONTAINMENT * F.col("n"))
+    return verified.groupBy("row", "__id", "template").agg(F.first(F.size("own") / F.col("n")).alias("containment"), F.first(F.array_min(F.transform("own", lambda f: f["i"]))).alias("first_word")).drop("row").withColumnRenamed("__id", id_col)
