@@ -5,14 +5,17 @@ re-parameterised keeps its template.  Windows of ``WINDOW`` template tokens of
 all documents are matched by hash against those of the benchmark.  The windows found
 are put together by alignment into stretches of the document.  Where a stretch
 has enough of an item's windows, or a long run of them, the slots behind the
-placeholders are compared: one value of the item must stand for one value of
-the stretch throughout.  One stretch is enough; where none is, all together count.
+placeholders are compared: over all windows of the stretch, each value of the
+item must stand for one value of the stretch, and no two for the same.  One
+stretch is enough; where none is, all together count.
 Windows of mostly placeholders count where their values are the item's; with
 other values they only do not break a run.  Where the windows found hold few
 literal words, all values must be the item's.
 
-The benchmark is matched in parts whose size is bounded, so one larger than
-memory takes more passes and not more memory; documents are never shuffled.
+A benchmark within ``INDEX_BYTES``, as is usual, is one index in every worker,
+and documents are not shuffled.  For a larger one, windows of documents and
+items are hash-joined, and only pairs that share as many as a find needs are
+looked at; no task then holds more than one item's index at a time.
 """
 
 from __future__ import annotations
@@ -31,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Memo, arrow_map, field, texts
+from .common import Memo, arrow_map, field, free, texts, written
 
 WINDOW = 5
 #: Share of an item's windows, or windows in one run (13 tokens), from which a document holds the item.
@@ -40,8 +43,8 @@ MIN_CONTAINMENT, MIN_RUN = 0.5, 9
 MIN_CONSISTENCY = 0.8
 #: Different literal words that the windows found must hold, one more than a window can; with fewer the values must be the item's.
 MIN_LITERAL = 6
-#: Bytes of benchmark text that one pass holds in a worker's memory.
-PART_BYTES = 8 << 20
+#: Bytes of benchmark text that are held as one index in each worker.
+INDEX_BYTES = 8 << 20
 #: Distinct words that a task remembers.
 MEMORY = 200_000
 
@@ -186,6 +189,17 @@ class Index:
         rows = (self.judge(item, found, self.bridges(item, found, seen), value) for item, found in hits.items())
         return [row for row in rows if row]
 
+    def fewest(self, item: int) -> int:
+        """Different template windows that a text must share with the item, at least, to hold it."""
+        _, width, keys, (every, light), *_ = self.items[item]
+        template = [k[0] if isinstance(k, tuple) else k for k in keys]
+        by = sorted(Counter(t for t, _ in {(k[0] if isinstance(k, tuple) else k, k) for k in keys}).values(), reverse=True)
+        half, n = 0, 0
+        while half < MIN_CONTAINMENT * every:
+            half, n = half + by[n], n + 1
+        ways = [n, *([-int(-MIN_CONTAINMENT * light // 1)] if light else []), *(len(set(template[i : i + MIN_RUN])) for i in range(len(template) - MIN_RUN + 1))]
+        return max(1, min(ways))
+
     def bridges(self, item: int, found: set[tuple[int, int]], seen: dict[int, np.ndarray]) -> set[tuple[int, int]]:
         """Windows of mostly placeholders whose template is there with other values: they do not count, but do not break a run."""
         _, width, keys, _, _, heavy, _ = self.items[item]
@@ -235,14 +249,28 @@ class Index:
         if not enough:
             return None
         votes = self.votes(item, found, value)
-        n = sum(c.total() for c in votes.values())
-        agree = sum(max(c.values()) for c in votes.values()) / n if n else 1.0
+        agree = one_to_one(votes)
         if agree < MIN_CONSISTENCY:
             return None
         same = all(set(c) == {v} for v, c in votes.items())
         return item_id, *enough, agree, "verbatim" if same else "reparameterised"
 
 
+def one_to_one(votes: dict[str, Counter]) -> float:
+    """Share of the votes that agree with one assignment of text values to item values, in which no two item values share one.
+
+    Pairs are assigned from the most votes down.
+    """
+    n = sum(c.total() for c in votes.values())
+    given, taken, agree = set(), set(), 0
+    for times, item_value, text_value in sorted(((k, v, t) for v, c in votes.items() for t, k in c.items()), key=lambda x: (-x[0], x[1] != x[2], x[1], x[2])):
+        if item_value not in given and text_value not in taken:
+            given.add(item_value)
+            taken.add(text_value)
+            agree += times
+    return agree / n if n else 1.0
+
+
 def stretches(found: set[tuple[int, int]], span: int, votes: Callable[[set[tuple[int, int]]], dict[str, Counter]]) -> list[set[tuple[int, int]]]:
     """Hits (offset, window of the item) by alignment: those of one offset, and chains of near offsets.
 
@@ -300,19 +328,6 @@ def longest_run(found: set[tuple[int, int]], bridges: set[tuple[int, int]]) -> i
     return best
 
 
-def benchmark_parts(benchmark: DataFrame, id_col: str, text_col: str) -> list[DataFrame]:
-    """The benchmark by hash into parts of about PART_BYTES of text, as many as it takes."""
-    items = benchmark.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).distinct()
-    size = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    n = 1 + size // PART_BYTES
-    return [items.where(F.pmod(F.xxhash64("id", "text"), F.lit(n)) == k) for k in range(n)]
-
-
-def _indexes(docs: DataFrame, benchmark: DataFrame, item_col: str, item_text: str):
-    for part in benchmark_parts(benchmark, item_col, item_text):
-        yield docs.sparkSession.sparkContext.broadcast([(r.id, r.text) for r in part.sort("id", "text").collect()])  # about PART_BYTES
-
-
 class Finder:
     """Builds the index once in each worker."""
 
@@ -328,47 +343,122 @@ class Finder:
         return self.index.find(self.canon, text) if self.index.items else []
 
 
+FOUND = [T.StructField("containment", T.DoubleType()), T.StructField("longest_run", T.LongType()), T.StructField("slot_consistency", T.DoubleType()), T.StructField("kind", T.StringType())]
+
+
+def _items(benchmark: DataFrame, item_col: str, item_text: str) -> tuple[DataFrame, int]:
+    """The benchmark's different items with a text, numbered by ``key``, and their bytes."""
+    items = benchmark.select(F.col(item_col).alias("item"), F.col(item_text).alias("text")).where("text IS NOT NULL").distinct().withColumn("key", F.xxhash64("text"))
+    return items, items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+
+
+def _by_index(rows: DataFrame, items: DataFrame) -> Finder:
+    """Finds keys of items; they are collected, as they are within INDEX_BYTES."""
+    return Finder(rows.sparkSession.sparkContext.broadcast([(r["key"], r["text"]) for r in items.select("key", "text").distinct().orderBy("key", "text").collect()]))
+
+
+def _by_join(rows: DataFrame, items: DataFrame) -> DataFrame:
+    """text_key, key and the fields of FOUND for every text of ``rows`` (text_key, text) that holds an item, however many items there are."""
+    window = [T.StructField("width", T.IntegerType()), T.StructField("window", T.LongType())]
+
+    def cut(batch: pa.RecordBatch) -> pa.RecordBatch | None:
+        at, need, widths, hashes = [], [], [], []
+        for i, t in enumerate(texts(batch)):
+            index = Index([(0, t)])
+            if index.items:
+                (_, width, keys, *_), = index.items
+                for x in {k[0] if isinstance(k, tuple) else k for k in keys}:
+                    at.append(i)
+                    need.append(index.fewest(0))
+                    widths.append(width)
+                    hashes.append(x)
+        return pa.RecordBatch.from_arrays([batch.column("key").take(pa.array(at)), pa.array(need, pa.int32()), pa.array(widths, pa.int32()), pa.array(np.array(hashes, np.uint64).view(np.int64))], names=["key", "need", "width", "window"]) if at else None
+
+    own, _ = written(arrow_map(items.select("key", "text").distinct(), cut, T.StructType([T.StructField("key", T.LongType()), T.StructField("need", T.IntegerType()), *window])), "item-windows")
+    used = sorted(r[0] for r in own.select("width").distinct().collect())  # WINDOW numbers at most
+    canon = Finder(None)
+
+    def slide(batch: pa.RecordBatch) -> pa.RecordBatch | None:
+        canon.canon = canon.canon or Canon()
+        at, widths, hashes = [], [], []
+        for i, t in enumerate(texts(batch)):
+            h = canon.canon.tokens(t)[0]
+            for width in used:
+                found = np.unique(windows(h, width))
+                at.append(np.full(len(found), i))
+                widths.append(np.full(len(found), width))
+                hashes.append(found)
+        if not at:
+            return None
+        return pa.RecordBatch.from_arrays([batch.column("text_key").take(pa.array(np.concatenate(at))), pa.array(np.concatenate(widths), pa.int32()), pa.array(np.concatenate(hashes).view(np.int64))], names=["text_key", "width", "window"])
+
+    bodies = rows.dropDuplicates(["text_key"])
+    theirs = arrow_map(bodies, slide, T.StructType([field(rows, "text_key"), *window]))
+    pairs = theirs.join(own, ["width", "window"]).groupBy("text_key", "key").agg(F.count(F.lit(1)).alias("n"), F.first("need").alias("need")).where("n >= need").select("text_key", "key")
+    both = bodies.join(pairs, "text_key").join(items.select("key", F.col("text").alias("item_text")).distinct(), "key")
+    last: list = [None, None]
+
+    def judged(batch: pa.RecordBatch) -> pa.RecordBatch | None:
+        canon.canon = canon.canon or Canon()
+        at, out = [], []
+        for i, (t, key, body) in enumerate(zip(texts(batch), batch.column("key").to_pylist(), batch.column("item_text").to_pylist(), strict=True)):
+            if last[0] != body:
+                last[:] = body, Index([(key, body)])
+            for row in last[1].find(canon.canon, t):
+                at.append(i)
+                out.append(row[1:])
+        return _rows([batch.column("text_key").take(pa.array(at)), batch.column("key").take(pa.array(at))], ["text_key", "key"], out) if at else None
+
+    return arrow_map(both, judged, T.StructType([field(rows, "text_key"), T.StructField("key", T.LongType()), *FOUND]))
+
+
+def _rows(columns: list, names: list[str], found: list[tuple]) -> pa.RecordBatch:
+    share, run, agree, kind = zip(*found, strict=True)
+    return pa.RecordBatch.from_arrays([*columns, pa.array(share, pa.float64()), pa.array(run, pa.int64()), pa.array(agree, pa.float64()), pa.array(kind)], names=[*names, *(f.name for f in FOUND)])
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
     """A row for each document and item that it holds; documents without one have no row.
 
     Null and empty texts hold nothing, null and empty items are held by
-    nothing, items of fewer than WINDOW tokens are matched as a whole.
-    Repeated documents are reported again, repeated items once.  Other columns
-    are ignored.
+    nothing, items of fewer than WINDOW tokens are matched as a whole.  Texts
+    of any length are read whole.  Repeated documents are reported again,
+    repeated items once, different items of one text each.  Of equally good
+    stretches the verbatim one counts.  Other columns are ignored, whatever
+    their names.
     """
-    schema = T.StructType(
-        [field(docs, id_col), field(benchmark, item_col), T.StructField("containment", T.DoubleType()), T.StructField("longest_run", T.LongType()), T.StructField("slot_consistency", T.DoubleType()), T.StructField("kind", T.StringType())]
-    )
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    item_type = pa.int64() if isinstance(benchmark.schema[item_col].dataType, T.LongType) else None
-    out = None
-    for shared in _indexes(docs, benchmark, item_col, item_text):
-        finder = Finder(shared)
-
-        def found(batch: pa.RecordBatch, finder=finder) -> pa.RecordBatch | None:
-            at, rows_ = [], []
+    items, size = _items(benchmark, item_col, item_text)
+    names = items.select(F.col("key").alias("item_key"), F.col("item").alias("item"))
+    if size > INDEX_BYTES:
+        rows = docs.select(F.col(id_col).alias("id"), F.unhex(F.md5(F.col(text_col).cast("binary"))).alias("text_key"), F.col(text_col).alias("text")).where("text IS NOT NULL")
+        by_text, _ = written(_by_join(rows.select("text_key", "text"), items), "found")
+        found = rows.select("id", "text_key").join(by_text, "text_key").drop("text_key")
+    else:
+        rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+        finder = _by_index(rows, items)
+
+        def look(batch: pa.RecordBatch) -> pa.RecordBatch | None:
+            at, out = [], []
             for i, t in enumerate(texts(batch)):
                 for row in finder(t):
                     at.append(i)
-                    rows_.append(row)
-            if not at:
-                return None
-            item, share, run, agree, kind = zip(*rows_, strict=True)
-            return pa.RecordBatch.from_arrays([batch.column("id").take(pa.array(at)), pa.array(item, item_type), pa.array(share, pa.float64()), pa.array(run, pa.int64()), pa.array(agree, pa.float64()), pa.array(kind)], names=schema.names)
-
-        part = arrow_map(rows, found, schema)
-        out = part if out is None else out.unionByName(part)
-    return out
+                    out.append(row)
+            return _rows([batch.column("id").take(pa.array(at)), pa.array([row[0] for row in out], pa.int64())], ["id", "key"], [row[1:] for row in out]) if at else None
 
+        found = arrow_map(rows, look, T.StructType([field(docs, id_col, "id"), T.StructField("key", T.LongType()), *FOUND]))
+    return found.join(names, F.col("key") == F.col("item_key")).select(F.col("id").alias(id_col), F.col("item").alias(item_col if item_col != id_col else f"item_{item_col}"), *(f.name for f in FOUND))
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
-    """``docs`` without the documents that hold an item, with all columns as they are."""
-    out = docs
-    for shared in _indexes(docs, benchmark, item_col, item_text):
-        finder = Finder(shared)
 
-        def clean(batch: pa.RecordBatch, finder=finder) -> pa.RecordBatch:
-            return batch.filter(pc.invert(pa.array([bool(finder(t)) for t in texts(batch, text_col)], pa.bool_())))
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
+    """``docs`` without the documents that hold an item, with all columns as they are.
 
-        out = arrow_map(out, clean, docs.schema)
-    return out
+    Awkward rows are judged as in ``contaminated``; those that hold nothing stay.
+    """
+    items, size = _items(benchmark, item_col, item_text)
+    if size > INDEX_BYTES:
+        key, gone = free(docs, "text_key"), free(docs, "gone_key")
+        keyed = docs.withColumn(key, F.unhex(F.md5(F.col(f"`{text_col}`").cast("binary"))))
+        by_text, _ = written(_by_join(keyed.select(F.col(key).alias("text_key"), F.col(f"`{text_col}`").alias("text")).where("text IS NOT NULL"), items).select(F.col("text_key").alias(gone)).distinct(), "gone")
+        return keyed.join(by_text, F.col(key) == F.col(gone), "left_anti").drop(key)
+    finder = _by_index(docs, items)
+    return arrow_map(docs, lambda b: b.filter(pc.invert(pa.array([bool(finder(t)) for t in texts(b, text_col)], pa.bool_()))), docs.schema)
