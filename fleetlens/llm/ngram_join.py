@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Memo, arrow_map, field, forget, small, texts, written
+from .common import Memo, arrow_map, field, forget, free, fresh_path, scratch, small, texts, written
 from .components import components
 
 SHINGLE = 5
@@ -37,8 +37,8 @@ NUM, DEN = 4, 5
 BANDS, ROWS, VALUES = 20, 4, 96
 #: Values compared before each decision, and the posterior probability below which a pair is dropped.
 STEP, TOLERANCE = 16, 1e-6
-#: Texts of a block; a task never compares more than two blocks at a time.
-BLOCK = 1000
+#: Texts of a block, and about how many bytes of them; a task never compares more than two blocks at a time.
+BLOCK, BLOCK_BYTES = 1000, 16 << 20
 #: Up to this many linked texts are broadcast to fetch their bodies; more are joined by shuffling.
 MAX_BROADCAST_TEXTS = 200_000
 #: Distinct words that a task remembers.
@@ -285,12 +285,12 @@ def text_key(text: Column) -> Column:
     return F.unhex(F.md5(F.coalesce(text, F.lit("")).cast("binary")))
 
 
-def in_blocks(rows: DataFrame, size: str) -> DataFrame:
-    """Rows of a group of ``size`` members, once for each pair of blocks that holds them; a small group is one block."""
+def in_blocks(rows: DataFrame, size: str, n_bytes: Column | None = None) -> DataFrame:
+    """Rows of a group of ``size`` members and ``n_bytes`` bytes, once for each pair of blocks that holds them; a small group is one block."""
     last = F.col("blocks") - 1
     others = F.when(last < 1, F.array(F.lit(0))).otherwise(F.filter(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), lambda d: d != F.col("block")))
     return (
-        rows.withColumn("blocks", F.ceil(F.col(size) / BLOCK).cast("int"))
+        rows.withColumn("blocks", F.greatest(F.ceil(F.col(size) / BLOCK), F.lit(1) if n_bytes is None else F.ceil(n_bytes / BLOCK_BYTES)).cast("int"))
         .withColumn("block", F.pmod(F.xxhash64("tid"), F.col("blocks")).cast("int"))
         .withColumn("other", F.explode(others))
         .withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")})
@@ -299,7 +299,7 @@ def in_blocks(rows: DataFrame, size: str) -> DataFrame:
 
 
 def _signed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """id, tid, sketch and bands of every row."""
+    """id, tid, bytes, sketch and bands of every row."""
 
     def signed(batch: pa.RecordBatch) -> pa.RecordBatch:
         sets = [shingles(t) for t in texts(batch)]
@@ -307,17 +307,24 @@ def _signed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         keys = bands_of(values).view(np.int64)
         sketch = ((values >> np.uint64(20)) & np.uint64(0xFF)).astype(np.uint8)
         bands = [keys[i] if len(s) else np.empty(0, np.int64) for i, s in enumerate(sets)]
-        return pa.RecordBatch.from_arrays([batch.column("id"), batch.column("tid"), pa.array([r.tobytes() for r in sketch], pa.binary()), pa.array(bands, pa.list_(pa.int64()))], names=["id", "tid", "sketch", "bands"])
+        return pa.RecordBatch.from_arrays([batch.column("id"), batch.column("tid"), batch.column("bytes"), pa.array([r.tobytes() for r in sketch], pa.binary()), pa.array(bands, pa.list_(pa.int64()))], names=["id", "tid", "bytes", "sketch", "bands"])
 
-    rows = docs.select(F.col(id_col).alias("id"), text_key(F.col(text_col)).alias("tid"), F.col(text_col).alias("text"))
-    schema = T.StructType([field(docs, id_col, "id"), T.StructField("tid", T.BinaryType()), T.StructField("sketch", T.BinaryType()), T.StructField("bands", T.ArrayType(T.LongType()))])
+    rows = docs.select(F.col(id_col).alias("id"), text_key(F.col(text_col)).alias("tid"), F.coalesce(F.octet_length(F.col(text_col)), F.lit(0)).cast("long").alias("bytes"), F.col(text_col).alias("text"))
+    schema = T.StructType([field(docs, id_col, "id"), T.StructField("tid", T.BinaryType()), T.StructField("bytes", T.LongType()), T.StructField("sketch", T.BinaryType()), T.StructField("bands", T.ArrayType(T.LongType()))])
     return arrow_map(rows, signed, schema)
 
 
 def _classes(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
     """The rows' (id, tid), and for each text: class_id, first_id of its copies, copies, text_links, doc_links."""
     signed, _ = written(_signed(docs, id_col, text_col), "signed")
-    reps, _ = written(signed.groupBy("tid").agg(F.min("id").alias("first_id"), F.count(F.lit(1)).alias("copies"), F.first("sketch").alias("sketch"), F.first("bands").alias("bands")), "texts")
+    path = fresh_path(docs.sparkSession, "classes")
+    with scratch(docs.sparkSession):
+        classes, _ = written(_classes_of(docs, signed, id_col, text_col), "classes", path)
+    return signed.select("id", "tid"), classes
+
+
+def _classes_of(docs: DataFrame, signed: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    reps, _ = written(signed.groupBy("tid").agg(F.min("id").alias("first_id"), F.count(F.lit(1)).alias("copies"), F.first("bytes").alias("bytes"), F.first("sketch").alias("sketch"), F.first("bands").alias("bands")), "texts")
 
     banded = reps.select("tid", F.explode("bands").alias("bucket"))
     shared = banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
@@ -326,13 +333,12 @@ def _classes(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, Da
     pairs = members.repartition(parts, "bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "tid").mapInArrow(_survivors, EDGES)
     roots, _ = written(components(pairs), "candidates")
 
-    sizes = roots.groupBy("root").agg(F.count(F.lit(1)).alias("n"))
-    wanted, _ = written(
-        roots.join(sizes, "root").select(F.col("node").alias("tid"), "root", "n").join(reps.select("tid", "first_id", "copies"), "tid"), "linked"
-    )
+    linked = roots.select(F.col("node").alias("tid"), "root").join(reps.select("tid", "first_id", "copies", "bytes"), "tid")
+    sizes = linked.groupBy("root").agg(F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("n_bytes"))
+    wanted, _ = written(linked.drop("bytes").join(sizes, "root"), "linked")
     side = F.broadcast(wanted) if small(wanted, MAX_BROADCAST_TEXTS) else wanted
     bodies = docs.select(F.col(id_col).alias("id"), text_key(F.col(text_col)).alias("own"), F.col(text_col).alias("text")).join(side, (F.col("own") == F.col("tid")) & F.col("id").eqNullSafe(F.col("first_id")))
-    blocks = in_blocks(bodies, "n").select("root", "i", "j", "blocks", "block", "tid", "copies", "text")
+    blocks = in_blocks(bodies, "n", F.col("n_bytes")).select("root", "i", "j", "blocks", "block", "tid", "copies", "text")
     found, _ = written(blocks.repartition(parts, "root", "i", "j").sortWithinPartitions("root", "i", "j", "tid").mapInArrow(_links, LINKS), "links")
 
     counts = found.where("to IS NULL").groupBy("tid").agg(F.sum("text_links").alias("text_links"), F.sum("doc_links").alias("doc_links"))
@@ -344,7 +350,7 @@ def _classes(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, Da
     heads = tied.groupBy("root").agg(F.min("first_id").alias("class_id"), F.min(F.struct(F.col("first_id").isNull(), "first_id", "node"))["node"].alias("head"))
     by_text = tied.join(heads, "root").select(F.col("node").alias("tid"), "class_id", (F.col("node") == F.col("head")).alias("is_head")).join(counts, "tid", "left")
     classes = reps.select("tid", "first_id", "copies").join(by_text.withColumn("in_class", F.lit(True)), "tid", "left")
-    classes = classes.select(
+    return classes.select(
         "tid",
         F.when(F.col("in_class"), F.col("class_id")).otherwise(F.col("first_id")).alias("class_id"),
         "first_id",
@@ -353,7 +359,6 @@ def _classes(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, Da
         F.coalesce("text_links", F.lit(0)).alias("text_links"),
         (F.coalesce("doc_links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
     )
-    return signed.select("id", "tid"), written(classes, "classes")[0]
 
 
 def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -364,8 +369,10 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     the other documents of similarity 0.8 or more, copies included, and
     ``text_links`` the different texts among them.  Null text is the empty
     text, which links to its copies alone; texts of fewer than five words are
-    one shingle.  Rows with a null id take part, but name no class unless all
-    of its rows do.  Other columns are ignored.
+    one shingle, and very long ones are compared whole.  A similarity of
+    exactly 0.8 links.  Rows with a null id take part, but name no class unless
+    all of its rows do; repeated rows are copies.  An empty table gives an
+    empty result.  Other columns are ignored, whatever their names.
     """
     rows, classes = _classes(docs, id_col, text_col)
     return rows.join(classes, "tid").select(F.col("id").alias(id_col), "class_id", F.col("first_id").alias("copy_of"), "n_links", "text_links")
@@ -379,10 +386,16 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     """
     rows, classes = _classes(docs, id_col, text_col)
     marked = rows.join(classes, "tid").select("id", "tid", (F.col("is_head") & F.col("id").eqNullSafe(F.col("class_id"))).alias("stays"))
-    gone, _ = written(marked.where("NOT stays").select(F.col("id").alias("__id"), F.col("tid").alias("__tid")), "gone")  # repeated rows do no harm, and without a distinct the join's hot texts can be split
-    side = F.broadcast(gone) if small(gone, MAX_BROADCAST_TEXTS) else gone
-    kept = docs.withColumn("__key", text_key(F.col(text_col))).join(side, F.col(f"`{id_col}`").eqNullSafe(F.col("__id")) & (F.col("__key") == F.col("__tid")), "left_anti")
-    twice = marked.where("stays").groupBy("id", "tid").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    if not twice.isEmpty():  # rows repeated whole, or several with a null id
-        kept = kept.dropDuplicates([id_col, "__key"])
-    return kept.drop("__key")
+    own, gone_id, gone_tid = (free(docs, c) for c in ("own_key", "gone_id", "gone_tid"))
+    key = (F.col(f"`{id_col}`").eqNullSafe(F.col(gone_id))) & (F.col(own) == F.col(gone_tid))
+
+    def table(df: DataFrame, what: str) -> DataFrame:
+        out, _ = written(df.select(F.col("id").alias(gone_id), F.col("tid").alias(gone_tid)), what)
+        return F.broadcast(out) if small(out, MAX_BROADCAST_TEXTS) else out
+
+    gone = table(marked.where("NOT stays"), "gone")  # repeated rows do no harm, and without a distinct the join's hot texts can be split
+    kept = docs.withColumn(own, text_key(F.col(f"`{text_col}`"))).join(gone, key, "left_anti")
+    twice = table(marked.where("stays").groupBy("id", "tid").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "twice")
+    if not twice.isEmpty():  # rows repeated whole, or several with a null id: these alone are shuffled, one of each a task
+        kept = kept.join(twice, key, "left_anti").unionByName(kept.join(twice, key, "left_semi").dropDuplicates([id_col, own]))
+    return kept.drop(own)
