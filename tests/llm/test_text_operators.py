@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import itertools
+import math
 import random
 import re
 import zlib
@@ -131,17 +132,46 @@ def plan_by_hand(rows):
         full |= over
 
 
+def copies_by_hand(rows, size, by, target):
+    """Documents of a source in order of size, hit by a comb that a hash of the source moves."""
+    digest, out = lambda x: hashlib.md5(x.encode()).hexdigest(), {}
+    for s in by:
+        own = sorted((n, digest(f"mix:{i}"), digest(t or ""), i) for (i, t, of), n in zip(rows, size, strict=True) if of == s)
+        rate = target[s] / by[s] if by[s] else 0.0
+        start, part = int(digest(f"mix:{s or ''}")[:12], 16) / 16**12, rate - math.floor(rate)
+        for k, (*_, i) in enumerate(own):
+            out[i] = math.floor(rate) + math.floor(start + (k + 1) * part) - math.floor(start + k * part)
+    return out
+
+
+def test_mixing_draws_each_document_with_its_fraction():
+    """Over many starts of the comb every document is hit as often as the fraction says."""
+    part, starts = 0.37, [(k + 0.5) / 1000 for k in range(1000)]
+    for place in (0, 1, 7, 40):
+        assert abs(sum(math.floor(u + (place + 1) * part) - math.floor(u + place * part) for u in starts) / 1000 - part) < 2e-3
+
+
+def test_mixing_of_many_sources(spark):
+    rows = [(i, prose(i, 5 + i % 40), f"https://{i % 700}.example/") for i in range(1400)]
+    size, by, target = plan_by_hand(rows)
+    got = {r.doc_id: r for r in mixing.plan_mix(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
+    copies = copies_by_hand(rows, size, by, target)
+    assert all(got[i].target == pytest.approx(target[s]) and got[i].copies == copies[i] for i, _, s in rows)
+
+
 def test_mixing_matches_refilling(spark):
     rng = random.Random(3)
     rows = [(i, prose(i, rng.randint(1, 200)), rng.choice(["a", "b", "é", "z", None])) for i in range(300)]
     size, by, target = plan_by_hand(rows)
     plan = {r.doc_id: r for r in mixing.plan_mix(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
+    copies, taken, longest = copies_by_hand(rows, size, by, target), Counter(), Counter()
     for (i, _, s), n in zip(rows, size, strict=True):
         r = plan[i]
         assert (r.size, r.source_size) == (n, by[s]) and r.target == pytest.approx(target[s])
-        rate = target[s] / by[s] if by[s] else 0
-        draw = int(hashlib.md5(f"mix:{i}".encode()).hexdigest()[:12], 16) / 16**12
-        assert r.copies == int(rate) + (draw < rate - int(rate)) <= 2
+        assert r.copies == copies[i] <= 2
+        taken[s] += r.copies * n
+        longest[s] = max(longest[s], n)
+    assert all(abs(taken[s] - target[s]) < longest[s] for s in by)  # a source misses its target by less than a document
     mixed = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string"))
     assert Counter(r.doc_id for r in mixed.collect()) == {i: r.copies for i, r in plan.items() if r.copies}
 
@@ -188,6 +218,15 @@ def test_license_scan_matches_containment(spark, awkward, empty):
     assert licenses.scan_licenses(awkward).count() == 0 and licenses.scan_licenses(empty).count() == 0
 
 
+def test_license_scan_reports_rows_without_ids_and_with_shared_ones_by_themselves(spark):
+    mit, cc = licenses.TEMPLATES["MIT grant"], licenses.TEMPLATES["CC-BY-SA-4.0 notice"]
+    rows = [(None, f"{prose(1)} {mit}"), (None, f"{prose(2)} {mit}"), (7, mit), (7, f"{cc} {prose(3)}"), (7, mit), (8, prose(4, 9000) + " " + cc + " " + prose(5))]
+    df = spark.createDataFrame([(i, t, 1, "r", "t") for i, t in rows], "doc_id long, text string, row int, template string, held string")
+    got = Counter((r.doc_id, r.template) for r in licenses.scan_licenses(df).collect())
+    assert got == {(None, "MIT grant"): 2, (7, "MIT grant"): 2, (7, "CC-BY-SA-4.0 notice"): 1, (8, "CC-BY-SA-4.0 notice"): 1}
+    assert [r.first_word for r in licenses.scan_licenses(df.where("doc_id = 8")).collect()] == [9000]
+
+
 # 4 token counts
 
 
@@ -254,9 +293,10 @@ def near_copies():
     return rows
 
 
-@pytest.mark.parametrize(("block", "broadcast"), [(1000, 200_000), (3, 0)])
-def test_ngram_join_matches_all_pairs(spark, monkeypatch, block, broadcast):
+@pytest.mark.parametrize(("block", "bytes_", "broadcast"), [(1000, 1 << 24, 200_000), (3, 1 << 24, 0), (1000, 900, 0)])
+def test_ngram_join_matches_all_pairs(spark, monkeypatch, block, bytes_, broadcast):
     monkeypatch.setattr(ngram_join, "BLOCK", block)
+    monkeypatch.setattr(ngram_join, "BLOCK_BYTES", bytes_)
     monkeypatch.setattr(ngram_join, "MAX_BROADCAST_TEXTS", broadcast)
     rows = near_copies()
     got = ngram_join.ngram_join(spark.createDataFrame(rows, "doc_id long, text string").repartition(5))
@@ -285,7 +325,9 @@ def test_pruning_keeps_pairs_at_the_threshold():
     assert ngram_join.survive(base, rng.permutation(base)).mean() < 1e-3
 
 
-def test_components_match_union_find(spark):
+@pytest.mark.parametrize("hub", [1000, 5])
+def test_components_match_union_find(spark, monkeypatch, hub):
+    monkeypatch.setattr("fleetlens.llm.components.HUB", hub)
     rng = random.Random(6)
     edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(200)] + [(i, i + 1) for i in range(1000, 1040)] + [(2000, 2000 + i) for i in range(1, 60)] + [(5, 5)]
     parent = {}
@@ -331,21 +373,68 @@ def test_toxicity_on_held_out_rows(spark):
     assert {r.doc_id: r.score for r in toxicity.score_toxicity(docs, toxicity.train(docs, flipped)).collect()} == {i: r.score for i, r in got.items()}
 
 
-def test_nearest_examples_are_exact(spark, monkeypatch):
+def cosines_by_hand(index, examples, queries):
+    """Dense TF-IDF vectors from plain counts of words and openings, and all cosines."""
+    import numpy as np
+
+    def counts(t):
+        w = [x.strip(toxicity.EDGE) for x in (t or "").lower().split()]
+        return Counter("w" + x for x in w if x) + Counter("o" + x[:4] for x in w if len(x) > 4)
+
+    own, n, n1 = [counts(t) for t, _ in examples], len(examples), sum(y for _, y in examples)
+    vocabulary = {t: k for k, t in enumerate(sorted(set().union(*own)))}
+    weight = np.zeros(len(vocabulary))
+    for t, k in vocabulary.items():
+        df, df1 = sum(t in c for c in own), sum(t in c for c, (_, y) in zip(own, examples, strict=True) if y)
+        g = 0.0
+        for seen, due in ((df1, df * n1), (df - df1, df * (n - n1)), (n1 - df1, (n - df) * n1), (n - n1 - df + df1, (n - df) * (n - n1))):
+            g += 2 * seen * math.log(seen * n / due) if seen else 0.0
+        weight[k] = math.log(n / df) * g / (g + toxicity.HALF_WEIGHT)
+
+    def dense(c):
+        v = np.zeros(len(vocabulary))
+        for t, k in c.items():
+            if t in vocabulary:
+                v[vocabulary[t]] = (1 + math.log(k)) * weight[vocabulary[t]]
+        return v / (np.sqrt(v @ v) or 1.0)
+
+    return np.array([dense(counts(q)) for q in queries]) @ np.array([dense(c) for c in own]).T
+
+
+def test_neighbours_and_scores_match_brute_force(spark, monkeypatch):
     import numpy as np
+    import pyarrow as pa
 
     monkeypatch.setattr(toxicity, "BLOCK", 4)
-    docs, labels, texts, _ = toxic_corpus(spark)
+    docs, labels, texts, truth = toxic_corpus(spark)
     index = toxicity.train(docs, labels)
-    assert index.blocks > 5
-    vectors = [index.vector(toxicity.term_counts(texts[i].encode().split(), index.terms)) for i in index.ids]
-    for q in list(texts.values())[:150]:
-        at, w = index.vector(toxicity.term_counts(q.encode().split(), index.terms))
-        dense = np.zeros(len(index.idf))
-        dense[at] = w
-        want = sorted(((-float(dense[a] @ v), k) for k, (a, v) in enumerate(vectors) if dense[a] @ v > 0))[: toxicity.NEIGHBOURS]
-        got = index.nearest(at, w)
-        assert np.allclose([s for s, _ in got], [-s for s, _ in want])
+    assert index.blocks > 50 and len(index.ids) == sum(zlib.crc32(str(i).encode()) % 4 != 2 for i in truth)  # clean examples too
+    queries_ = [*list(texts.values())[:200], "", None, "zzz qqq", "gloop " * 70_000 + prose(3)]
+    want = cosines_by_hand(index, [(texts[i], truth[i]) for i in index.ids], queries_)
+    p, cosine, found = index.score(pa.array(queries_))
+    base = (sum(truth[i] for i in index.ids) + 0.5) / (len(index.ids) + 1)
+    for q in range(len(queries_)):
+        order = np.argsort(-np.round(want[q], 10), kind="stable")[: toxicity.NEIGHBOURS]
+        assert np.allclose(cosine[q], np.maximum(want[q][order], 0), atol=1e-9)
+        s = np.sort(want[q])[::-1][: toxicity.NEIGHBOURS] ** 2
+        assert abs((cosine[q] ** 2).sum() - s.sum()) < 1e-6
+        if want[q].max() < 1e-9:
+            assert p[q] == pytest.approx(base)
+        else:
+            toxic = (cosine[q] ** 2 * index.labels[found[q]]).sum()
+            vote = (toxicity.PRIOR_WEIGHT * base + toxic) / (toxicity.PRIOR_WEIGHT + (cosine[q] ** 2).sum())
+            odds = index.curve[0] * math.log(min(max(vote, 1e-6), 1 - 1e-6) / (1 - min(max(vote, 1e-6), 1 - 1e-6))) + index.curve[1]
+            assert p[q] == pytest.approx(1 / (1 + math.exp(-odds)))
+
+
+def test_a_long_example_is_nearest_to_itself(spark):
+    """Counts are not capped: 70,000 times one word."""
+    import pyarrow as pa
+
+    long = "gloop " * 70_000 + prose(7)
+    index = toxicity.index_of(["a", "b", "c", "d"], [1, 0, 1, 0], [long, prose(8), "gloop " + prose(9), prose(10)])
+    _, cosine, found = index.score(pa.array([long]))
+    assert index.ids[found[0][0]] == "a" and cosine[0][0] == pytest.approx(1.0)
 
 
 def test_toxicity_awkward_rows(spark, awkward, empty):
@@ -356,6 +445,8 @@ def test_toxicity_awkward_rows(spark, awkward, empty):
     assert toxicity.score_toxicity(empty, index).count() == 0
     odd = spark.createDataFrame([(1, 1), (1, 0), (2, None), (None, 1), (99999, 1)], "doc_id long, toxic int")
     none = toxicity.train(awkward, odd)
+    twice = toxicity.train(awkward, spark.createDataFrame([(10, 1), (4, 0), (5, 0), (0, 0)], "doc_id long, toxic int"))
+    assert sorted(twice.ids) == sorted(i for i in (0, 4, 5, 10) if zlib.crc32(str(i).encode()) % 4 != 2)  # an id with two rows is one example
     assert not none.ids and toxicity.score_toxicity(awkward, none).count() == awkward.count()
 
 
@@ -370,10 +461,14 @@ def test_decontamination(spark, awkward, empty, monkeypatch):
     d = spark.createDataFrame(docs, "doc_id long, text string")
     b = spark.createDataFrame(items, "item_id long, text string")
     want = {(1, 1, "reparameterised"), (2, 2, "verbatim"), (4, 3, "verbatim"), (8, 2, "verbatim"), (7, 6, "verbatim")}
-    for part in (decontam.PART_BYTES, 100):  # in one part, and in several
-        monkeypatch.setattr(decontam, "PART_BYTES", part)
+    for size in (decontam.INDEX_BYTES, 100):  # by one index, and by the join of windows
+        monkeypatch.setattr(decontam, "INDEX_BYTES", size)
         assert {(r.doc_id, r.item_id, r.kind) for r in decontam.contaminated(d, b).collect()} == want
         assert {r.doc_id for r in decontam.drop_contaminated(d, b).collect()} == {3, 5, 6}
+        narrow = decontam.contaminated(d, b.selectExpr("cast(item_id AS int) AS item_id", "text"))
+        assert narrow.schema["item_id"].dataType.simpleString() == "int" and {(r.doc_id, r.item_id, r.kind) for r in narrow.collect()} == want
+        named = decontam.contaminated(d, b.selectExpr("concat('q', item_id) AS item_id", "text"))
+        assert {(r.doc_id, r.item_id) for r in named.collect()} == {(i, f"q{k}") for i, k, _ in want}
     assert decontam.contaminated(awkward, b).count() == 0
     assert decontam.drop_contaminated(awkward, b).count() == awkward.count() and decontam.drop_contaminated(awkward, b).columns == awkward.columns
     assert decontam.contaminated(empty, b).count() == 0 and decontam.contaminated(d, b.limit(0)).count() == 0
@@ -386,9 +481,51 @@ def test_slots_must_stand_for_the_same_value():
     assert not index.find(canon, "take 8 of them and then 9 of those and 1 more of these and again 2 of all")
 
 
+def test_values_are_assigned_one_to_one():
+    text = "when {} coins went to {} the keeper of this small house by the sea he gave another {} coins to {} before the long winter came over all the land"
+    index, canon = decontam.Index([(1, text.format(5, "Anna", 7, "Bob"))]), decontam.Canon()
+    assert index.find(canon, text.format(9, "Zed", 4, "Kim"))[0][4] == "reparameterised"
+    assert not index.find(canon, text.format(9, "Zed", 9, "Zed"))
+    assert decontam.one_to_one({"5": Counter({"9": 2}), "7": Counter({"9": 1, "8": 1})}) == 0.75
+
+
+def test_the_join_finds_what_the_index_finds(spark, monkeypatch):
+    rng = random.Random(12)
+    items = [(i, prose(800 + i, rng.randint(1, 40))) for i in range(40)] + [(99, "2, 4, 8, 16, 32, 64?"), (98, "go go go go go go go go go go go go go go go go go go")]
+    docs = [(i, " ".join([prose(i, 30), *(items[rng.randrange(len(items))][1] for _ in range(rng.randint(0, 2))), prose(i + 500, 30)])) for i in range(120)]
+    docs += [(500, docs[0][1]), (501, None), (502, "Then: 2, 4, 8, 16, 32, 64? No.")]
+    d, b = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    want = sorted(map(tuple, decontam.contaminated(d, b).collect()))
+    assert len(want) > 60
+    monkeypatch.setattr(decontam, "INDEX_BYTES", 0)
+    assert sorted(map(tuple, decontam.contaminated(d, b).collect())) == want
+
+
 # 8 compression
 
 
+def test_compression_verdict_matches_plain_definition(spark):
+    import zstandard
+
+    pack, rng = zstandard.ZstdCompressor(level=3).compress, random.Random(13)
+    noise = lambda n: " ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyzABCDEFGHIJ0123456789", k=9)) for _ in range(n))
+    rows = [(k, " ".join(prose(k * 40 + j, 90) for j in range(rng.randint(1, 16))) + rng.choice(["", " " + "la " * 2500, " " + noise(300), " " + noise(140)])) for k in range(60)]
+    rows += [(100, " ".join(prose(5000 + j, 95) for j in range(9)) + " " + "la " * 600)]  # a junk tail shorter than half a chunk
+    got = {r.doc_id: r for r in compression.compression_rules(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, t in rows:
+        raw, cuts = t.encode(), []
+        if len(raw) > 4096:
+            cuts = [raw[a : a + 4096] for a in range(0, len(raw), 4096)]
+            if len(cuts[-1]) < 2048:
+                cuts = [*cuts[:-2], cuts[-2] + cuts[-1]]
+        assert b"".join(cuts) in (raw, b"")  # every byte meets the chunk rule
+        bad = sum(not 0.40 <= len(pack(c)) / len(c) <= 0.66 for c in cuts)
+        ratio = len(pack(raw)) / len(raw)
+        low, high = next((a, b) for top, a, b in compression.BANDS if len(raw) <= top)
+        assert (got[i].bad_chunks, got[i].n_chunks, got[i].zstd_ratio) == (bad, len(cuts), ratio)
+        assert got[i].kept == (not got[i].base_failed and bad <= 0.3 * len(cuts) and low <= ratio <= high)
+
+
 def test_compression_rules(spark, awkward, empty):
     rng = random.Random(7)
     noise = " ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/", k=12)) for _ in range(200))
@@ -411,11 +548,13 @@ def test_compression_rules(spark, awkward, empty):
 def shards_by_hand(rows, n_shards=24):
     order = sorted(rows, key=lambda r: (hashlib.md5((r[1] or "").encode()).hexdigest(), -1 if r[0] is None else r[0]))
     size = [len((t or "").encode()) + 8 for _, t in order]
-    total, off, at, start, out, slots = sum(size), 0, None, 0, [], Counter()
+    total, off, at, start, out, slots, weight = sum(size), 0, None, 0, [], Counter(), Counter()
+    for (_, t), s in zip(order, size, strict=True):
+        weight[t or ""] += s
     for (i, t), s in zip(order, size, strict=True):
         if (t or "") != at:
             at, start = t or "", off
-        anchor = start if (off - start) * n_shards * 100 < total else off
+        anchor = start if weight[at] * n_shards <= total else off
         shard = min(n_shards - 1, (2 * anchor + s) * n_shards // (2 * total))
         out.append((i, s, zlib.crc32((t or "").encode()), shard, slots[shard]))
         slots[shard] += 1
@@ -426,7 +565,7 @@ def shards_by_hand(rows, n_shards=24):
 @pytest.mark.parametrize("parts", ["1", "4", "13"])
 def test_sharding_matches_prefix_sums(spark, parts):
     rng = random.Random(9)
-    rows = [(i, prose(rng.randrange(200), 40)) for i in range(400)] + [(1000 + i, "the same text") for i in range(300)]
+    rows = [(i, prose(rng.randrange(200), 40)) for i in range(400)] + [(1000 + i, "the same text") for i in range(900)]
     before = spark.conf.get("spark.sql.shuffle.partitions")
     spark.conf.set("spark.sql.shuffle.partitions", parts)
     try:
@@ -434,10 +573,12 @@ def test_sharding_matches_prefix_sums(spark, parts):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
     assert sorted((r.doc_id, r.size, r.text_crc32, r.shard, r.slot) for r in got) == sorted(shards_by_hand(rows))
-    loads = Counter()
+    loads, homes = Counter(), defaultdict(set)
     for r in got:
         loads[r.shard] += r.size
-    assert max(loads.values()) - min(loads.values()) < 0.1 * sum(loads.values()) / 24 + 600
+        homes[r.text_crc32].add(r.shard)
+    assert max(loads.values()) - min(loads.values()) < 0.1 * sum(loads.values()) / 24 + 2400
+    assert len(homes.pop(zlib.crc32(b"the same text"))) > 4 and all(len(h) == 1 for h in homes.values())  # only the heavy group is cut
 
 
 def test_sharding_awkward_rows(awkward, empty):
@@ -468,6 +609,32 @@ def test_warc_round_trip(spark):
     assert warc.archive_round_trip(pages.limit(0)).count() == 0
 
 
+def test_warc_of_awkward_ids(spark):
+    rows = [("a:b c/é", "u", "one", 1), ("b%", "u", "one", 1), (None, "u", "two", 1), (None, None, None, 1), ("", "u", "three", 1), ("z\n", "u", "four", 1), ("z\n", "u", "four", 1)]
+    pages = spark.createDataFrame(rows, "page_id string, url string, html string, payload int").withColumnRenamed("payload", "record_type")
+    got = Counter((r.page_id, r.record_type, r.refers_to) for r in warc.archive_round_trip(pages).collect())
+    assert got == {("a:b c/é", "revisit", "b%"): 1, ("b%", "response", None): 1, (None, "response", None): 2, ("", "response", None): 1, ("z\n", "response", None): 2}
+
+
+def test_warc_reads_foreign_archives(spark, tmp_path):
+    import gzip
+
+    path = str(tmp_path)
+    made = [
+        b"WARC/1.0\r\nwarc-type: warcinfo\r\nWARC-Record-ID: <urn:x:0>\r\ncontent-length: 5\r\n\r\nhello\r\n\r\n",
+        b"WARC/1.0\r\nwarc-type: response\r\nwarc-record-id: <urn:x:1>\r\ncontent-type: application/http; msgtype=response\r\ncontent-length: 41\r\n\r\nHTTP/1.1 200 OK\r\ncontent-length: 3\r\n\r\nabc\r\n\r\n",
+    ]
+    with open(f"{path}/one.warc.gz", "wb") as f:
+        f.write(b"".join(map(gzip.compress, made)))
+    with open(f"{path}/two.warc", "wb") as f:
+        f.write(b"".join(made))
+    got = sorted((r.record_id, r.record_type, r.payload_digest, r.payload_bytes, bytes(r.payload)) for r in warc.read_archives(spark, path).collect())
+    assert got == sorted([("urn:x:0", "warcinfo", None, 5, b"hello"), ("urn:x:1", "response", None, 3, b"abc")] * 2)
+    assert warc.read_archives(spark, path, payload=False).where("record_type = 'response'").count() == 2
+    warc.write_archives(warc.plan_records(spark.createDataFrame([(1, "u", "x")], "page_id long, url string, html string")), path)  # beside what is there
+    assert warc.read_archives(spark, path).count() == 5
+
+
 def test_warc_source_pushes_filters_and_skips_payloads(spark):
     pages = spark.createDataFrame([(i, f"u{i}", f"page {i % 3}" * 50) for i in range(30)], "page_id long, url string, html string").coalesce(1)
     path = warc.fresh_path(spark, "test")
