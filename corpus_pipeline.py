@@ -3,7 +3,12 @@
 ``STAGES`` lists (name, function); a function takes (spark, docs, sf_dir) and
 returns the documents it keeps, which are written as Parquet and read again by
 the next.  All but the last return the columns of ``documents``; the last adds
-``shard`` and ``slot``.
+``shard`` and ``slot``, or ``shard_`` and so on where ``documents`` has such
+columns itself.
+
+In every stage, rows with nulls in any column, empty or very long texts, ties
+and repeated rows are handled as its operator says, an empty table gives an
+empty one, and further columns are carried along, whatever their names.
 """
 
 from __future__ import annotations
@@ -11,9 +16,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from fleetlens.llm import decontam, mixing, ngram_join, quality, sharding
-from fleetlens.llm.common import table, written
+from fleetlens.llm.common import drop, free, fresh_path, scratch, table, written
 
 N_SHARDS = 24
 
@@ -40,7 +46,8 @@ def mixing_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def shard_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document with its shard and its place there."""
-    return sharding.assign_shards(docs, N_SHARDS, carry=True).select("row.*", "shard", "slot")
+    placed = sharding.assign_shards(docs, N_SHARDS, carry=True)
+    return placed.select("row.*", *[F.col(c).alias(free(docs, c)) for c in ("shard", "slot")])
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
@@ -56,7 +63,13 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """The documents of all stages; a stage's own tables go when its result is written, and that when the next one's is."""
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        docs, _ = written(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        path = fresh_path(spark, name.replace(" ", "-"))
+        with scratch(spark):
+            docs, _ = written(stage(spark, docs, sf_dir), name, path)
+        if before:
+            drop(spark, before)
+        before = path
     return STAGES[-1][1](spark, docs, sf_dir)
