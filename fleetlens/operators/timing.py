@@ -66,7 +66,19 @@ def sync_grid(frames: DataFrame, channels: Sequence[str], reference: str) -> Dat
 
 
 def nearest(left: DataFrame, right: DataFrame, key: str, left_time: str, right_time: str, right_token: str) -> DataFrame:
-    """Each left row with the right row of its key that is nearest in time, the least token on ties; NULL where the key has none."""
-    w = left.alias("l").join(right.select(F.col(key).alias("_key"), F.col(right_time).alias("_time"), F.col(right_token).alias("_token")), F.col(f"l.{key}") == F.col("_key"), "left")
-    rank = F.struct(F.abs(F.col(left_time) - F.col("_time")).alias("gap"), F.col("_token").alias("token"))
-    return w.groupBy(*[F.col(f"l.{c}") for c in left.columns]).agg(F.min(F.when(F.col("_time").isNotNull(), rank)).alias("_near")).select(*left.columns, F.col("_near.token").alias("nearest_token"), F.col("_near.gap").alias("nearest_gap"))
+    """Each left row with the right row of its key that is nearest in time, the least token on ties; NULL where the key has none.
+
+    Both sides stand in one line by time, and a row looks back and ahead for
+    the next right row: no pairs are made, and equal left rows stay apart.
+    """
+    of = lambda c: F.col(f"row.{c}")
+    none = F.lit(None).cast(right.schema[right_token].dataType)
+    token = right.groupBy(F.col(key).alias("key"), F.col(right_time).alias("time")).agg(F.min(right_token).alias("token")).where("time IS NOT NULL")
+    line = left.select(F.struct(*left.columns).alias("row")).select(of(key).alias("key"), of(left_time).alias("time"), none.alias("token"), "row")
+    line = line.unionByName(token.select("key", "time", "token", F.lit(None).cast(line.schema["row"].dataType).alias("row")))
+    mark, w = F.when(F.col("row").isNull(), F.struct("time", "token")), Window.partitionBy("key").orderBy("time")
+    before = F.last(mark, ignorenulls=True).over(w.rangeBetween(Window.unboundedPreceding, Window.currentRow))
+    after = F.first(mark, ignorenulls=True).over(w.rangeBetween(Window.currentRow, Window.unboundedFollowing))
+    near = line.withColumns({"before": before, "after": after}).where("row IS NOT NULL")
+    rank = lambda c: F.when(F.col(c).isNotNull() & F.col("time").isNotNull(), F.struct(F.abs(F.col("time") - F.col(f"{c}.time")).alias("gap"), F.col(f"{c}.token").alias("token")))
+    return near.withColumn("best", F.least(rank("before"), rank("after"))).select(*[of(c).alias(c) for c in left.columns], F.col("best.token").alias("nearest_token"), F.col("best.gap").alias("nearest_gap"))

@@ -69,7 +69,7 @@ def camera(spark):
 def projected(spark, d):
     """Every annotation before the same camera."""
     boxes = labels_qc(spark, d)
-    cams = boxes.select("sample_token").distinct().crossJoin(F.broadcast(camera(spark)))  # one row
+    cams = boxes.select("sample_token").distinct().crossJoin(F.broadcast(labels2d.camera_matrices(camera(spark))))  # one row
     return cams, boxes
 
 
@@ -97,7 +97,7 @@ def geo_labels2d(spark, d):
 @query("WITH " + _DROPS + " SELECT drop_reason, count(*) AS n FROM labelled WHERE drop_reason IS NOT NULL GROUP BY 1")
 def agg_drop_reasons(spark, d):
     cams, boxes = projected(spark, d)
-    return labels2d.drop_counts(labels2d.project_boxes(cams, boxes, Curation()))
+    return labels2d.drop_counts(labels2d.project_boxes(cams, boxes, Curation(), only_ok=True))
 
 
 @query("WITH " + ANNOTATIONS + ", y AS (SELECT annotation_token, quantity / 10 AS a FROM annotations) SELECT annotation_token, round(cos(a), 6) + 0.0 AS cosine, round(sin(a), 6) + 0.0 AS sine, round(least((a - 1) - pi() * floor((a - 1) / pi()), pi() - ((a - 1) - pi() * floor((a - 1) / pi()))), 6) AS gap FROM y")
