@@ -87,3 +87,9 @@ def even_positions(n: Column, k: int) -> Column:
     if k == 1:
         return F.array(F.lit(0).cast("long"))
     return F.array_distinct(F.transform(F.sequence(F.lit(0), F.lit(k - 1)), lambda i: F.bround(i * (n - 1) / F.lit(k - 1)).cast("long")))
+
+
+def nearest_level(value: Column, levels: Sequence[float]) -> Column:
+    """The place, from 0, of the level nearest to a value; the first of two as near; NULL for NULL."""
+    away = F.array(*[F.abs(value - F.lit(float(x))) for x in levels])
+    return F.when(value.isNotNull(), (F.array_position(away, F.array_min(away)) - 1).cast("int"))

@@ -88,7 +88,7 @@ def quality_stage(spark: SparkSession, p: Params) -> dict:
         points = decode.read_points(spark, decoded.where(F.col("is_key_frame") & (F.col("channel") == p.sensors.reference_channel)), p.raw_dir)
         write_parquet(quality.projection_shares(pairs, points), s.path("reports/projection"))
         projection = s.table("reports/projection", "quality")
-    write_parquet(quality.evaluate(frames, feats, ann, sync, projection, p).coalesce(1).orderBy("severity", "check", F.col("entity_id").asc_nulls_last()), s.path("reports/issues"))
+    write_parquet(quality.evaluate(frames, feats, ann, sync, projection, p).orderBy("severity", "check", F.col("entity_id").asc_nulls_last()), s.path("reports/issues"))
     issues = s.table("reports/issues", "quality")
     status = quality.frame_status(frames.select("frame_token", "sample_token", "scene_name", "channel", "modality", "is_key_frame"), issues)
     write_parquet(status, s.path("silver/frames_qc"))

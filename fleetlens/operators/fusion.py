@@ -103,6 +103,11 @@ def place_by_points(points: DataFrame, key: str, p: Fusion, yaw: str = "yaw") ->
     )
 
 
+def camera_ray(u: Column, v: Column, depth: Column, fx: Column, fy: Column, px: Column, py: Column) -> tuple[Column, Column, Column]:
+    """The point at a depth behind a pixel, in the camera's frame."""
+    return (u - px) * depth / fx, (v - py) * depth / fy, depth
+
+
 def place_by_camera(boxes: DataFrame, p: Fusion) -> DataFrame:
     """Boxes without enough points: the 2D centre's ray at the expected depth, at a lower score.
 
@@ -110,8 +115,9 @@ def place_by_camera(boxes: DataFrame, p: Fusion) -> DataFrame:
     """
     extent = (F.col("l") + F.col("w")) / 4
     z = F.col("depth")
+    point = camera_ray(*map(F.col, ("u", "v", "depth", "fx", "fy", "px", "py")))
     return boxes.withColumns(
-        {"cam_point": F.array((F.col("u") - F.col("px")) * z / F.col("fx"), (F.col("v") - F.col("py")) * z / F.col("fy"), z), "reach": z + extent, "yaw": F.lit(0.0), "score": F.col("score") * p.mono_factor, "source": F.lit("mono")}
+        {"cam_point": F.array(*point), "reach": z + extent, "yaw": F.lit(0.0), "score": F.col("score") * p.mono_factor, "source": F.lit("mono")}
     )
 
 

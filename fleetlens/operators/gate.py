@@ -24,3 +24,10 @@ def gate_checks(new: DataFrame, old: DataFrame, watched: Sequence[str], min_scor
 
 def passed(checks: DataFrame) -> DataFrame:
     return checks.agg(F.coalesce(F.bool_and("passed"), F.lit(False)).alias("passed"), F.count_if(~F.col("passed")).alias("failed"))
+
+
+def may_promote(models: DataFrame, report: DataFrame) -> DataFrame:
+    """``model_version`` and ``allowed``: a model may be promoted if the gate's report is on this very version, and passed."""
+    gated = report.select(F.col("model_version").alias("_gated"), "passed")
+    j = models.join(F.broadcast(gated), F.col("model_version") == F.col("_gated"), "left")  # a row a report
+    return j.select("model_version", F.coalesce("passed", F.lit(False)).alias("allowed"))

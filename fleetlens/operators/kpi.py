@@ -107,6 +107,29 @@ def histogram(values: DataFrame, column: str, bounds: Sequence[float], *keys: st
     return per.select(*keys, F.inline(cells)).toDF(*keys, "le", "n")
 
 
+def sliding(rows: DataFrame, time: str, seconds: int, step: int) -> DataFrame:
+    """Each row once for every multiple ``at`` of ``step`` seconds whose last ``seconds`` hold it: from ``at - seconds`` on, before ``at``."""
+    return rows.withColumn("_w", F.window(F.col(time), f"{seconds} seconds", f"{step} seconds")).withColumn("at", F.col("_w.end")).drop("_w")
+
+
+def sliding_rate(rows: DataFrame, time: str, seconds: int, step: int, *keys: str) -> DataFrame:
+    """Rows a second over the last ``seconds`` before each ``at``, where there are any."""
+    return sliding(rows, time, seconds, step).groupBy("at", *keys).agg((F.count(F.lit(1)) / F.lit(float(seconds))).alias("rate"))
+
+
+def exposition(name: str, rows: DataFrame, kind: str, value: str = "value") -> DataFrame:
+    """Lines of the text format for metrics: one a row, labelled by its other columns, and one that names the kind.
+
+    A histogram's rows are cumulative counts ``n`` by ``le``.
+    """
+    labels = [c for c in rows.columns if c not in (value, "n")]
+    text = lambda c: F.when(F.col(c).cast("string") == "Infinity", "+Inf").otherwise(F.col(c).cast("string"))
+    pairs = F.concat_ws(",", *[F.concat(F.lit(f'{c}="'), F.replace(F.replace(text(c), F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"')), F.lit('"')) for c in labels])
+    series, number = (f"{name}_bucket", "n") if kind == "histogram" else (name, value)
+    lines = rows.select(F.concat(F.lit(series), F.when(pairs != "", F.concat(F.lit("{"), pairs, F.lit("}"))).otherwise(F.lit("")), F.lit(" "), F.col(number).cast("string")).alias("line"))
+    return rows.sparkSession.range(1).select(F.lit(f"# TYPE {name} {kind}").alias("line")).unionByName(lines)
+
+
 def latency_report(runs: DataFrame, column: str, *keys: str) -> DataFrame:
     """Mean and percentiles of run times in ms, and runs per second at the mean."""
     q = lambda p: F.percentile(column, p)

@@ -61,7 +61,7 @@ def lift(pairs: DataFrame, points: DataFrame, boxes: DataFrame, priors: DataFram
         .withColumn("by_points", F.col("cx").isNotNull())
         .withColumns({"u": (F.col("x1") + F.col("x2")) / 2, "v": (F.col("y1") + F.col("y2")) / 2})
     )
-    ray = ((F.col("u") - k(0, 2)) * F.col("expected") / k(0, 0), (F.col("v") - k(1, 2)) * F.col("expected") / k(1, 1), F.col("expected"))
+    ray = fusion.camera_ray(F.col("u"), F.col("v"), F.col("expected"), k(0, 0), k(1, 1), k(0, 2), k(1, 2))
     mono = let(rotation(F.col("sensor_rotation")), lambda r: F.struct(*[c.alias(n) for c, n in zip(out_of(ray, vec(F.col("sensor_translation")), r), "xyz", strict=True)]))
     j = j.select("*", F.inline(F.array(mono))).withColumnsRenamed({"x": "mx", "y": "my", "z": "mz"})
     away = F.hypot(F.col("mx") - F.get("sensor_translation", F.lit(0)), F.col("my") - F.get("sensor_translation", F.lit(1)))

@@ -49,39 +49,58 @@ def match(preds: DataFrame, gts: DataFrame, thresholds: Sequence[float], keys: S
     return j.select(*keys, "thr", "taken", F.explode("ps").alias("a")).select(*keys, "thr", F.col("a.p").alias("p"), F.col("a.score").alias("score"), hit["g"].alias("g"), hit["d"].alias("d"))
 
 
+#: Bins of the score range of a group whose detections are ranked apart from each other.
+SCORE_BINS = 1024
+
+
+def ranked(matched: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
+    """``matched`` with ``_n``, the place by score, and ``_tp``, the hits up to there.
+
+    The score range of a group is cut into bins; a bin is ranked by itself and
+    starts at the totals of the bins above, of which there are SCORE_BINS a
+    group at most.  So no task sees a whole group.
+    """
+    keys = list(keys)
+    ends = matched.groupBy(*keys).agg(F.min("score").alias("_low"), F.max("score").alias("_high"))
+    share = F.coalesce(F.try_divide(F.col("_high") - F.col("score"), F.col("_high") - F.col("_low")), F.lit(0.0))
+    binned = matched.join(ends, keys).withColumn("_bin", F.floor(share * (SCORE_BINS - 1)).cast("int")).drop("_low", "_high")
+    totals = binned.groupBy(*keys, "_bin").agg(F.count(F.lit(1)).alias("_rows"), F.sum(F.col("tp").cast("long")).alias("_hits"))
+    above = Window.partitionBy(*keys).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
+    bases = totals.select(*keys, "_bin", *[F.coalesce(F.sum(c).over(above), F.lit(0)).alias(f"{c}_above") for c in ("_rows", "_hits")])
+    w = Window.partitionBy(*keys, "_bin").orderBy(F.col("score").desc(), order)
+    local = binned.withColumns({"_n": F.row_number().over(w), "_tp": F.sum(F.col("tp").cast("long")).over(w.rowsBetween(Window.unboundedPreceding, 0))})
+    return local.join(bases, [*keys, "_bin"]).withColumns({"_n": F.col("_n") + F.col("_rows_above"), "_tp": F.col("_tp") + F.col("_hits_above")}).drop("_bin", "_rows_above", "_hits_above")
+
+
 def average_precision(matched: DataFrame, n_gt: DataFrame, keys: Sequence[str] = ("cls", "thr"), order: str = "p") -> DataFrame:
     """AP of each group over 101 recall points: interpolated, enveloped, without the first 11 points, less 0.1 precision.
 
     ``matched`` has ``tp`` (boolean) and ``score``; ``n_gt`` the number of
     truths of a group.  A group of truths without detections has AP 0, one
-    without truths NULL.  The curve of a group is cut down to the points where
-    recall rises or the 101 points can see a difference before it is gathered.
+    without truths NULL.  Recall rises by one hit at a time, so each of the 101
+    points lies between two known numbers of hits, and only the precisions at
+    these, at most 202 a group, are looked up.
     """
     keys = list(keys)
-    w = Window.partitionBy(*keys).orderBy(F.col("score").desc(), order)
-    run = w.rowsBetween(Window.unboundedPreceding, 0)
-    curve = (
-        matched.join(n_gt, keys)
-        .where("n_gt > 0")
-        .withColumns({"_tp": F.sum(F.col("tp").cast("long")).over(run), "_n": F.row_number().over(w)})
-        .withColumns({"rec": F.col("_tp") / F.col("n_gt"), "prec": F.col("_tp") / F.col("_n")})
+    steps = (
+        ranked(matched, keys, order).groupBy(*keys, "_tp").agg(F.min("_n").alias("first_n"), F.max("_n").alias("last_n"))
+        .join(n_gt.where("n_gt > 0"), keys)
+        .withColumns({"rec": F.col("_tp") / F.col("n_gt"), "first": F.col("_tp") / F.col("first_n"), "last": F.col("_tp") / F.col("last_n")})
     )
-    # Only the first and last detection of each recall step bound an interpolation.
-    steps = curve.groupBy(*keys, "_tp").agg(F.min(F.struct("_n", "rec", "prec")).alias("a"), F.max(F.struct("_n", "rec", "prec")).alias("b"))
-    line = steps.groupBy(*keys).agg(F.array_sort(F.flatten(F.collect_list(F.array("a", "b")))).alias("line"))
-    grid = F.transform(F.sequence(F.lit(0), F.lit(100)), lambda i: i / F.lit(100.0))
-
-    def at(x: Column) -> Column:
-        low = F.element_at(F.filter("line", lambda q: q["rec"] <= x), -1)
-        low = F.when(F.exists("line", lambda q: q["rec"] <= x), low)
-        high = F.get(F.filter("line", lambda q: q["rec"] > x), F.lit(0))
-        top, first = F.element_at("line", -1), F.get("line", F.lit(0))
-        between = low["prec"] + (high["prec"] - low["prec"]) * F.try_divide(x - low["rec"], high["rec"] - low["rec"])
-        return F.when(low.isNull(), first["prec"]).when(high.isNull(), F.when(x == top["rec"], top["prec"]).otherwise(0.0)).otherwise(between)
-
-    points = line.select(*keys, F.posexplode(F.transform(grid, lambda x: F.struct(x.alias("x"), at(x).alias("v")))).alias("k", "q"), F.element_at("line", -1)["rec"].alias("top"))
-    env = F.max("_v").over(Window.partitionBy(*keys).orderBy("k").rowsBetween(0, Window.unboundedFollowing))
-    points = points.withColumn("_v", F.col("q.v")).withColumn("env", F.when(F.col("q.x") > F.col("top") + 1e-9, F.lit(0.0)).otherwise(env))
+    ends = steps.groupBy(*keys).agg(F.max("rec").alias("top"), F.max_by("last", "_tp").alias("top_prec"), F.min_by("first", "_tp").alias("first_prec"), F.first("n_gt").alias("n_gt"))
+    x = F.col("k") / F.lit(100.0)
+    guess = F.floor(x * F.col("n_gt"))  # hits at the point, but for rounding
+    below = F.when((guess + 1) / F.col("n_gt") <= x, guess + 1).when(guess / F.col("n_gt") > x, guess - 1).otherwise(guess)
+    grid = ends.withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(100)))).withColumns({"x": x, "below": below})
+    points = grid.join(steps.select(*keys, F.col("_tp").alias("below"), F.col("rec").alias("low_rec"), F.col("last").alias("low_prec")), [*keys, "below"], "left")
+    points = points.withColumn("next", F.col("below") + 1).join(steps.select(*keys, F.col("_tp").alias("next"), F.col("rec").alias("high_rec"), F.col("first").alias("high_prec")), [*keys, "next"], "left")
+    # beyond the last hit the lower end is the top itself
+    past = F.col("x") >= F.col("top")
+    between = F.col("low_prec") + (F.col("high_prec") - F.col("low_prec")) * F.try_divide(F.col("x") - F.col("low_rec"), F.col("high_rec") - F.col("low_rec"))
+    value = F.when(past, F.when(F.col("x") == F.col("top"), F.col("top_prec")).otherwise(0.0)).when(F.col("low_rec").isNull(), F.col("first_prec")).otherwise(between)
+    points = points.withColumn("v", value)
+    env = F.max("v").over(Window.partitionBy(*keys).orderBy("k").rowsBetween(0, Window.unboundedFollowing))  # 101 rows a group
+    points = points.withColumn("env", F.when(F.col("x") > F.col("top") + 1e-9, F.lit(0.0)).otherwise(env))
     ap = points.where("k > 10").groupBy(*keys).agg((F.avg(F.greatest(F.col("env") - 0.1, F.lit(0.0))) / 0.9).alias("ap"))
     return n_gt.join(ap, keys, "left").select(*keys, "n_gt", F.when(F.col("n_gt") > 0, F.coalesce("ap", F.lit(0.0))).alias("ap"))
 

@@ -302,3 +302,14 @@ def eval_missed(spark, d):
 @query("WITH " + POINTS + " SELECT cls, round(avg((intensity > 0)::INT::DOUBLE), 6) AS lidar_share, round(avg(abs(z)), 6) AS mean_ms FROM points GROUP BY 1")
 def eval_source_share(spark, d):
     return points(spark, d).groupBy("cls").agg(F.round(F.avg((F.col("intensity") > 0).cast("double")), 6).alias("lidar_share"), F.round(F.avg(F.abs("z")), 6).alias("mean_ms"))
+
+
+_LEVELS = [round(-30 + i * 40 / 31, 6) for i in range(32)]
+
+
+@query("WITH " + POINTS + f", l AS (SELECT unnest({_LEVELS}::DOUBLE[]) AS e, unnest(range(0, 32))::INTEGER AS ring), a AS (SELECT frame, point, degrees(atan2(z, sqrt(x * x + y * y))) AS up FROM points) "
+       "SELECT frame, point, arg_min(ring, (round(abs(up - e), 9), ring)) AS ring FROM a, l GROUP BY ALL")
+def proj_nearest_ring(spark, d):
+    """The laser ring that a point's elevation is nearest to."""
+    up = F.degrees(F.atan2("z", F.hypot("x", "y")))
+    return points(spark, d).withColumn("up", up).select("frame", "point", S.nearest_level(F.col("up"), _LEVELS).alias("ring"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import gate, kpi, store
+from ..sources import views
 from ..streaming import windows
 from .adapters import SAMPLES, read, samples
 from .registry import query
@@ -29,9 +30,11 @@ def store_flatten(spark, d):
     return store.melt(wide, "event_type", "volume")
 
 
-@query("WITH " + HISTORY + " SELECT max(run_id) AS run_id FROM history")
+@query("WITH " + HISTORY + ", renamed AS (SELECT md5(run_id) AS run_id, published_at FROM history) SELECT run_id FROM renamed ORDER BY published_at DESC, run_id DESC LIMIT 1")
 def win_latest_run(spark, d):
-    return store.latest_run(history(spark, d)).withColumnRenamed("_latest", "run_id")
+    """Run ids that do not follow time: the time of publishing counts."""
+    renamed = history(spark, d).withColumn("run_id", F.md5("run_id"))
+    return store.latest_run(renamed).withColumnRenamed("_latest", "run_id")
 
 
 @query("WITH " + HISTORY + " SELECT value FROM history WHERE metric = 'volume.view.frames' ORDER BY published_at DESC LIMIT 1")
@@ -60,15 +63,34 @@ def dash_labelled_series(spark, d):
     return h.select("published_at", F.concat(F.replace(F.replace("metric", F.lit("volume."), F.lit("")), F.lit("."), F.lit(" / ")), F.lit(" daily")).alias("label"), "value")
 
 
-@query("WITH " + SAMPLES + " SELECT location, weather, sum(n)::BIGINT AS samples FROM (SELECT location, weather, count(*) AS n FROM samples GROUP BY ALL) GROUP BY 1, 2")
+#: The coverage that a run a year over the samples would publish.
+COVERAGE = SAMPLES + """, coverage AS (
+  SELECT md5(year(make_timestamp(sample_timestamp))::VARCHAR) AS run_id, make_timestamp(year(make_timestamp(sample_timestamp)), 12, 31, 0, 0, 0) AS published_at, location, weather, count(*) AS samples FROM samples GROUP BY ALL)"""
+
+
+@query("WITH " + COVERAGE + " SELECT location, weather, sum(samples)::BIGINT AS samples FROM coverage WHERE run_id = (SELECT run_id FROM coverage ORDER BY published_at DESC LIMIT 1) GROUP BY 1, 2")
 def dash_coverage(spark, d):
-    return samples(spark, d).groupBy("location", "weather").agg(F.count(F.lit(1)).alias("samples"))
+    """The cells of the run published last."""
+    year = F.year(F.timestamp_micros("sample_timestamp"))
+    runs = samples(spark, d).groupBy(F.md5(year.cast("string")).alias("run_id"), F.make_timestamp_ntz(year, F.lit(12), F.lit(31), F.lit(0), F.lit(0), F.lit(0)).alias("published_at"), "location", "weather").agg(F.count(F.lit(1)).alias("samples"))
+    return store.of_latest(runs).groupBy("location", "weather").agg(F.sum("samples").alias("samples"))
 
 
-@query("SELECT epoch_us(time_bucket(INTERVAL 5 MINUTE, ts)) AS window_start, event_type, count(*) / 300.0::DOUBLE AS rate FROM events GROUP BY ALL")
+@query("SELECT epoch_us(t) AS at, event_type, n / 300.0::DOUBLE AS rate FROM (SELECT t, event_type, count(*) AS n FROM (SELECT time_bucket(INTERVAL 1 MINUTE, ts) + to_minutes(k + 1) AS t, ts, event_type FROM events, range(0, 5) r(k)) GROUP BY ALL)")
 def prom_rate_5m(spark, d):
-    e = read(spark, d, "events").withColumn("ts", F.col("ts").cast("timestamp"))
-    return e.groupBy(F.window("ts", "5 minutes"), "event_type").agg((F.count(F.lit(1)) / 300.0).alias("rate")).select(F.unix_micros("window.start").alias("window_start"), "event_type", "rate")
+    """The rate over the five minutes before each full minute that has any event in them."""
+    return kpi.sliding_rate(read(spark, d, "events").withColumn("ts", F.col("ts").cast("timestamp")), "ts", 300, 60, "event_type").select(F.unix_micros("at").alias("at"), "event_type", "rate")
+
+
+@query("""WITH t AS (SELECT date_trunc('day', ts) + to_days(k + 1) AS t, event_type, value FROM events, range(0, 2) r(k)),
+b AS (SELECT t, event_type, b AS le, count_if(value <= b) AS n FROM t, (VALUES (5.0::DOUBLE), (10.0), (25.0), (50.0), (100.0), (250.0), ('inf'::DOUBLE)) x(b) GROUP BY ALL),
+p AS (SELECT *, lag(le, 1, 0.0::DOUBLE) OVER w AS low, lag(n, 1, 0) OVER w AS below, max(n) OVER (PARTITION BY t, event_type) * 0.95::DOUBLE AS rank FROM b WINDOW w AS (PARTITION BY t, event_type ORDER BY le)),
+f AS (SELECT *, row_number() OVER (PARTITION BY t, event_type ORDER BY le) AS r FROM p WHERE n >= rank)
+SELECT epoch_us(t) AS at, event_type, round(CASE WHEN le = 'inf'::DOUBLE THEN low ELSE low + (le - low) * (rank - below) / (n - below) END, 6) AS quantile FROM f WHERE r = 1""")
+def prom_quantile_sliding(spark, d):
+    """The 0.95 quantile of the two days before each midnight, from buckets."""
+    e = kpi.sliding(read(spark, d, "events").withColumn("ts", F.col("ts").cast("timestamp")), "ts", 2 * 86400, 86400)
+    return kpi.histogram_quantile(kpi.histogram(e, "value", _BOUNDS, "at", "event_type"), 0.95, "at", "event_type").select(F.unix_micros("at").alias("at"), "event_type", F.round("quantile", 6).alias("quantile"))
 
 
 _BOUNDS = [5.0, 10.0, 25.0, 50.0, 100.0, 250.0]
@@ -115,19 +137,23 @@ def gate_verdict(spark, d):
     return gate.passed(gate_rows(spark, d))
 
 
-@query("SELECT epoch_us(date_trunc('hour', ts)) AS window_start, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY ALL")
+#: Where the watermark stands at the end of the events.
+_MARK = "(SELECT epoch_us(max(ts)) - 600000000 FROM events)"
+
+
+@query(f"SELECT * FROM (SELECT epoch_us(date_trunc('hour', ts)) AS window_start, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY ALL) WHERE window_start + 3600000000 <= {_MARK}")
 def stream_tumbling(spark, d):
     return windows.tumbling(spark, d)
 
 
-@query("SELECT epoch_us(time_bucket(INTERVAL 2 HOUR, ts)) - k * 7200000000 AS window_start, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events, range(0, 3) r(k) GROUP BY ALL")
+@query(f"SELECT * FROM (SELECT epoch_us(time_bucket(INTERVAL 2 HOUR, ts)) - k * 7200000000 AS window_start, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events, range(0, 3) r(k) GROUP BY ALL) WHERE window_start + 21600000000 <= {_MARK}")
 def stream_sliding(spark, d):
     return windows.sliding(spark, d)
 
 
 @query("""WITH g AS (SELECT user_id, epoch_us(ts) AS t, CASE WHEN epoch_us(ts) - lag(epoch_us(ts)) OVER w >= 43200000000 THEN 1 ELSE 0 END AS new FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
 s AS (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY t ROWS UNBOUNDED PRECEDING) AS k FROM g)
-SELECT min(t) AS session_start, max(t) + 43200000000 AS session_end, user_id, count(*) AS n FROM s GROUP BY user_id, k""")
+SELECT min(t) AS session_start, max(t) + 43200000000 AS session_end, user_id, count(*) AS n FROM s GROUP BY user_id, k HAVING max(t) + 43200000000 <= """ + _MARK)
 def stream_session(spark, d):
     return windows.sessions(spark, d)
 
@@ -140,3 +166,18 @@ def stream_dedup(spark, d):
 @query("WITH e AS (SELECT *, max(ts) OVER (PARTITION BY user_id ORDER BY value, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS seen FROM events) SELECT event_id FROM e WHERE ts < seen - INTERVAL 10 DAY")
 def stream_late_rows(spark, d):
     return windows.late_rows(read(spark, d, "events"), "10 DAYS", "value", "event_id").select("event_id")
+
+
+@query("WITH " + _GATE + ", verdict AS (SELECT bool_and(passed) AS passed FROM checks) SELECT v AS model_version, passed AND v = 'm2' AS allowed FROM verdict, (VALUES ('m1'), ('m2')) t(v)")
+def gate_promotion(spark, d):
+    """Whether each of two models may be promoted by a gate report on the second."""
+    report = gate.passed(gate_rows(spark, d)).withColumn("model_version", F.lit("m2"))
+    models = spark.range(1).select(F.explode(F.array(F.lit("m1"), F.lit("m2"))).alias("model_version"))
+    return gate.may_promote(models, report)
+
+
+@query("SELECT event_type AS channel, count(*) AS frames, round(sum(value), 4) AS total FROM events WHERE event_id % 10 = 0 GROUP BY 1 HAVING count(*) > 3")
+def sql_views(spark, d):
+    """SQL text over tables that were registered as views."""
+    with views.registered(spark, {"silver_frames": f"{d}/events.parquet"}):
+        return spark.sql("SELECT event_type AS channel, count(*) AS frames, round(sum(value), 4) AS total FROM silver_frames WHERE event_id % 10 = 0 GROUP BY 1 HAVING count(*) > 3")

@@ -12,12 +12,16 @@ from pyspark.sql import functions as F
 
 
 def arrivals(spark: SparkSession, landing: str, archive: str | None = None) -> DataFrame:
-    """A row for each scene that a READY marker lists: drive and scene_name."""
+    """A row for each scene that a READY marker lists: drive and scene_name.
+
+    Without state: a scene listed twice is two rows until ``merge_arrivals``
+    makes each batch distinct.
+    """
     reader = spark.readStream.option("recursiveFileLookup", "true").option("pathGlobFilter", "READY")
     if archive:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     lines = reader.text(landing).select(F.trim("value").alias("scene_name"), F.col("_metadata.file_path").alias("path"))
-    return lines.where("scene_name <> ''").select(F.element_at(F.split("path", "/"), -2).alias("drive"), "scene_name").distinct()
+    return lines.where("scene_name <> ''").select(F.element_at(F.split("path", "/"), -2).alias("drive"), "scene_name")
 
 
 def merge_arrivals(spark: SparkSession, landing: str, scenes: str, state: str, archive: str | None = None) -> None:

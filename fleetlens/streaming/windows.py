@@ -2,6 +2,10 @@
 
 The stream is a file source over a table's Parquet files, read to its end and
 then stopped (``availableNow``).  Timestamps without zone are taken as UTC.
+
+Aggregates are appended: a window or session comes out once, when the watermark
+has passed its end, and its state is dropped.  Rows behind the watermark are
+dropped too; ``late`` counts them by batch.
 """
 
 from __future__ import annotations
@@ -25,26 +29,32 @@ def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a temporary one only where the session names none."""
-    found = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    """The folder that driver and executors share; a temporary one only on a local master that names none."""
+    sc = spark.sparkContext
+    found = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not found:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="fleetlens-"))
-        found = spark.sparkContext.getCheckpointDir()
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="fleetlens-"))
+        found = sc.getCheckpointDir()
     return found
 
 
-def run_to_end(stream: DataFrame, mode: str) -> DataFrame:
-    """All that the stream gives, as a table: appended rows through a file sink, a complete aggregate through its last batch."""
+def run_to_end(stream: DataFrame) -> DataFrame:
+    """All rows that the stream appends until its end, as a table of a file sink."""
     spark = stream.sparkSession
     root = f"{checkpoint_root(spark)}/stream-{uuid.uuid4().hex}"
-    writer = stream.writeStream.outputMode(mode).option("checkpointLocation", f"{root}/state").trigger(availableNow=True)
-    if mode == "append":
-        writer.format("parquet").option("path", f"{root}/out").start().awaitTermination()
-        return spark.read.schema(stream.schema).parquet(f"{root}/out")
-    writer.foreachBatch(lambda batch, _: batch.write.mode("overwrite").parquet(f"{root}/out")).start().awaitTermination()
+    writer = stream.writeStream.outputMode("append").option("checkpointLocation", f"{root}/state").trigger(availableNow=True)
+    query = writer.format("parquet").option("path", f"{root}/out").start()
+    query.awaitTermination()
     return spark.read.schema(stream.schema).parquet(f"{root}/out")
 
 
+def late(query) -> int:
+    """Rows that a finished query dropped because they came behind the watermark."""
+    return sum(op.numRowsDroppedByWatermark for batch in query.recentProgress for op in batch.stateOperators)
+
+
 def counts(stream: DataFrame, window: Callable, watermark: str = "10 minutes", *keys: str) -> DataFrame:
     """Counts and sums per window and keys."""
     rows = stream.withWatermark("ts", watermark).groupBy(window, *keys).agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 4).alias("total"))
@@ -52,16 +62,16 @@ def counts(stream: DataFrame, window: Callable, watermark: str = "10 minutes", *
 
 
 def tumbling(spark: SparkSession, sf_dir: str, width: str = "1 hour") -> DataFrame:
-    return run_to_end(counts(read_events(spark, sf_dir), F.window("ts", width), "10 minutes", "event_type"), "complete")
+    return run_to_end(counts(read_events(spark, sf_dir), F.window("ts", width), "10 minutes", "event_type"))
 
 
 def sliding(spark: SparkSession, sf_dir: str, width: str = "6 hours", step: str = "2 hours") -> DataFrame:
-    return run_to_end(counts(read_events(spark, sf_dir), F.window("ts", width, step), "10 minutes", "event_type"), "complete")
+    return run_to_end(counts(read_events(spark, sf_dir), F.window("ts", width, step), "10 minutes", "event_type"))
 
 
 def sessions(spark: SparkSession, sf_dir: str, gap: str = "12 hours") -> DataFrame:
     rows = read_events(spark, sf_dir).withWatermark("ts", "10 minutes").groupBy(F.session_window("ts", gap).alias("s"), "user_id").agg(F.count(F.lit(1)).alias("n"))
-    return run_to_end(rows.select(F.unix_micros("s.start").alias("session_start"), F.unix_micros("s.end").alias("session_end"), "user_id", "n"), "complete")
+    return run_to_end(rows.select(F.unix_micros("s.start").alias("session_start"), F.unix_micros("s.end").alias("session_end"), "user_id", "n"))
 
 
 def deduplicated(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,7 +79,7 @@ def deduplicated(spark: SparkSession, sf_dir: str) -> DataFrame:
     once = read_events(spark, sf_dir).select("event_id", "ts", "value")
     twice = once.withColumn("copy", F.explode(F.array(F.lit(0), F.lit(1)))).drop("copy")
     kept = twice.withWatermark("ts", "60 days").dropDuplicatesWithinWatermark(["event_id"])
-    return run_to_end(kept.select("event_id", "value"), "append")
+    return run_to_end(kept.select("event_id", "value"))
 
 
 def late_rows(table: DataFrame, delay: str, *order: str) -> DataFrame:

@@ -70,8 +70,8 @@ def test_clean_recording_passes(spark, clean):
     assert done["quality"]["pass_rate"] == 1.0 and done["quality"]["issues"] == {}
     assert done["features"] == {"frames": 198, "failed": 0}
     f = out(spark, p, "silver/frame_features").join(out(spark, p, "silver/frames"), "frame_token")
-    day = f.where("modality = 'camera' AND scene_name = 'scene-9001'").agg(F.avg("brightness")).first()[0]
-    night = f.where("modality = 'camera' AND scene_name = 'scene-9002'").agg(F.avg("brightness")).first()[0]
+    day = f.where("modality = 'camera' AND scene_name = 'drive-a'").agg(F.avg("brightness")).first()[0]
+    night = f.where("modality = 'camera' AND scene_name = 'drive-b'").agg(F.avg("brightness")).first()[0]
     assert abs(day - 129) < 3 and abs(night - 32) < 3
 
 
@@ -80,9 +80,9 @@ def test_faults_are_found(spark, faulty):
     n = {(r["check"], r["severity"]): r["n"] for r in issues.groupBy("check", "severity").agg(F.count(F.lit(1)).alias("n")).collect()}
     assert n == {("corrupt_file", "ERROR"): 1, ("missing_file", "ERROR"): 1, ("sync_offset", "WARN"): 1, ("frame_gap", "WARN"): 1, ("weak_label", "WARN"): 3, ("calibration_suspect", "WARN"): 5}
     one = {r["check"]: r for r in issues.collect()}
-    assert one["sync_offset"]["value"] == pytest.approx(119.996) and one["sync_offset"]["scene_name"] == "scene-9001"
+    assert one["sync_offset"]["value"] == pytest.approx(119.996) and one["sync_offset"]["scene_name"] == "drive-a"
     assert one["frame_gap"]["value"] == pytest.approx(250.0) and "~4 frames" in one["frame_gap"]["message"]
-    assert {r["scene_name"] for r in issues.where("`check` = 'calibration_suspect'").collect()} == {"scene-9003"}
+    assert {r["scene_name"] for r in issues.where("`check` = 'calibration_suspect'").collect()} == {"drive-c"}
     status = out(spark, faulty, "silver/frames_qc")
     assert status.count() == 194 and status.where("qc_error").count() == 2 and status.where("NOT calib_ok").count() == 5
 
@@ -90,7 +90,7 @@ def test_faults_are_found(spark, faulty):
 def test_tags_and_splits(spark, clean):
     p, _ = clean
     tags = {r["scene_name"]: set(r["tags"]) for r in out(spark, p, "gold/samples").collect()}
-    assert {"night", "crowded", "slow"} <= tags["scene-9002"] and {"rain", "stopped"} <= tags["scene-9003"] and {"has_bicycle", "moving", "day"} <= tags["scene-9001"]
+    assert {"night", "crowded", "slow"} <= tags["drive-b"] and {"rain", "stopped"} <= tags["drive-c"] and {"has_bicycle", "moving", "day"} <= tags["drive-a"]
     splits = {(r["scene_name"], r["split"]) for r in out(spark, p, "gold/samples").collect()}
     assert len(splits) == 3 and {s for _, s in splits} == {"train", "val", "test"}
 
@@ -142,7 +142,7 @@ def test_fusion_scores(spark, clean):
 
 def test_radar_and_scene_filter(spark, clean, tmp_path):
     p, _ = clean
-    q = params(tmp_path, sensors={"enabled": ["CAM_FRONT", "LIDAR_TOP", "RADAR_FRONT"]}, etl={"scenes": ["scene-9001", "scene-9002"]})
+    q = params(tmp_path, sensors={"enabled": ["CAM_FRONT", "LIDAR_TOP", "RADAR_FRONT"]}, etl={"scenes": ["drive-a", "drive-b"]})
     q.raw_dir = p.raw_dir
     jobs.extract(spark, q)
     done = jobs.transform(spark, q)
