@@ -11,7 +11,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -71,10 +71,21 @@ def fresh_path(spark: SparkSession, what: str) -> str:
     return path
 
 
-#: Paths made inside each open ``scratch``.
+#: Paths made inside each open ``noted``.
 _open: list[list[str]] = []
 
 
+@contextlib.contextmanager
+def noted() -> Iterator[list[str]]:
+    """Lists the tables that are written inside and left."""
+    made: list[str] = []
+    _open.append(made)
+    try:
+        yield made
+    finally:
+        _open.pop()
+
+
 @contextlib.contextmanager
 def scratch(spark: SparkSession) -> Iterator[None]:
     """Tables written inside are removed at the end; what is to stay must have been written outside by then.
@@ -82,11 +93,12 @@ def scratch(spark: SparkSession) -> Iterator[None]:
     Tables that a returned plan still reads stay until ``clear`` or until the
     folder of the application is removed.
     """
-    _open.append([])
+    made: list[str] = []
     try:
-        yield
+        with noted() as made:
+            yield
     finally:
-        for path in _open.pop():
+        for path in made:
             drop(spark, path)
 
 
@@ -161,6 +173,19 @@ def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | Non
     return df.mapInArrow(run, schema)
 
 
+def first_by_hash(df: DataFrame, n: int, order: list[Column]) -> DataFrame:
+    """The ``n`` rows that come first in ``order``, whose first column is a 64-bit hash.
+
+    Rows with hashes that cannot be among them go before the sort, so that
+    tasks together send about twice ``n`` rows, however many tasks there are.
+    """
+    total = df.count()
+    if total > 2 * n:  # twice the share that is expected to hold n rows, from the lowest hash on
+        few = df.where(order[0] < -(1 << 63) + int((1 << 64) * (2 * n / total)))
+        df = few if few.count() >= n else df
+    return df.orderBy(*order).limit(n)
+
+
 def field(df: DataFrame, name: str, to: str | None = None) -> T.StructField:
     return T.StructField(to or name, df.schema[name].dataType, True)
 

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Memo, arrow_map, field, texts, written
+from .common import Memo, arrow_map, field, first_by_hash, texts, written
 from .textstats import duplicate_lines, repeated_words, symbol_count, word_char_count, word_ids, words_of
 
 #: Documents, chosen by a hash of their id, that train the scorer; all if there are fewer.
@@ -241,7 +241,7 @@ def train(measured: DataFrame) -> Model:
     counts = {r["votes"]: r["n"] for r in measured.groupBy("votes").agg(F.count(F.lit(1)).alias("n")).collect()}  # 3 ** len(LABELLERS) rows at most
     bad, right, share = fit_labellers(counts)
     line = F.xxhash64("id", "votes", "at", "value", F.lit("scorer"))
-    sample = measured.select("votes", "at", "value").orderBy(line, "votes", "at", "value").limit(TRAIN_DOCS).collect()
+    sample = first_by_hash(measured, TRAIN_DOCS, [line, *map(F.col, ("votes", "at", "value"))]).select("votes", "at", "value").collect()
     w, b = fit_scorer([_features(r["at"], r["value"]) for r in sample], np.array([1 - bad[r["votes"]] for r in sample]))
     return Model(bad, right, share, w, b)
 

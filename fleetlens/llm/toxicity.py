@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import arrow_map, field, written
+from .common import arrow_map, field, first_by_hash, written
 
 #: Labelled documents that become examples, the first by a hash of their id; bytes of their texts together, and of one.
 MAX_EXAMPLES, MAX_EXAMPLE_BYTES, MAX_TEXT_BYTES = 3000, 64 << 20, 1 << 20
@@ -304,9 +304,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         .agg(F.min(label_col).alias("toxic"), F.max(label_col).alias("most"))
         .where("toxic = most")
         .select("id", "toxic")
-        .orderBy(line, "id")
-        .limit(MAX_EXAMPLES)
     )
+    known = first_by_hash(known, MAX_EXAMPLES, [line, F.col("id")])
     text = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).where(F.octet_length("text") <= MAX_TEXT_BYTES)
     examples, _ = written(text.join(F.broadcast(known), "id").groupBy("id", "toxic").agg(F.min("text").alias("text")).withColumn("line", line), "examples")
     size, last = 0, None
