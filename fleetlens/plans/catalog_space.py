@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import geometry as G
 from ..functions import scalars as S
-from ..operators import detect, fusion, labels2d, matching
+from ..operators import detect, fusion, labels2d, lifting, matching
 from ..params import Curation, Fusion
+from ..sources import decode
 from .adapters import ANNOTATIONS, LABELS_QC, POINTS, annotations, points, read
 from .catalog_metrics import labels_qc
 from .registry import query
@@ -313,3 +315,88 @@ def proj_nearest_ring(spark, d):
     """The laser ring that a point's elevation is nearest to."""
     up = F.degrees(F.atan2("z", F.hypot("x", "y")))
     return points(spark, d).withColumn("up", up).select("frame", "point", S.nearest_level(F.col("up"), _LEVELS).alias("ring"))
+
+
+@query("WITH " + POINTS + " SELECT frame, count(*)::DOUBLE AS n_points, round(avg(sqrt(x * x + y * y + z * z)), 3) AS mean_range, round(max(sqrt(x * x + y * y + z * z)), 3) AS max_range, round(avg(intensity), 3) AS mean_intensity, "
+       "frame % 5 <> 0 AS decode_ok FROM points WHERE frame % 5 <> 0 GROUP BY frame UNION ALL SELECT vec_id, NULL, NULL, NULL, NULL, false FROM embeddings WHERE vec_id % 5 = 0")
+def decode_lidar(spark, d):
+    """Points packed as files of the sensor, every fifth cut short, and decoded."""
+    cells = points(spark, d).groupBy("frame").agg(F.sort_array(F.collect_list(F.struct("point", "x", "y", "z", "intensity"))).alias("p"))
+    files = cells.select(F.col("frame").cast("string").alias("frame_token"), F.transform("p", lambda q: F.array(q["x"], q["y"], q["z"], q["intensity"], F.lit(0.0))).alias("rows"), (F.col("frame") % 5 == 0).alias("cut"))
+    packed = files.select("frame_token", F.arrow_udf(pack, "binary")("rows", "cut").alias("content"), F.lit(0).alias("width"), F.lit(0).alias("height"))
+    f = decode.binary_features(packed, "lidar")
+    return f.select(F.col("frame_token").cast("long").alias("frame"), "n_points", *[F.round(c, 3).alias(c) for c in ("mean_range", "max_range", "mean_intensity")], "decode_ok")
+
+
+def pack(rows: pa.Array, cut: pa.Array) -> pa.Array:
+    """Nested rows of numbers as little-endian float32, without the last byte where ``cut``."""
+    import numpy as np
+
+    return pa.array([np.array(r, "<f4").tobytes()[: -1 if c else None] for r, c in zip(rows.to_pylist(), cut.to_pylist(), strict=True)], pa.binary())
+
+
+# A vehicle at (-10, -2, 0) that is turned by 0.3 for each of seven kinds of frames, and a camera 1.5 m ahead and 1.6 m up that looks along its x.
+_TURNED = POINTS + """, turned AS (
+  SELECT *, (frame % 7) * 0.3::DOUBLE AS a, x + 10 AS dx, y + 2 AS dy FROM points), seen AS (
+  SELECT frame, point, x, y, z, -(-sin(a) * dx + cos(a) * dy) AS cx, -(z - 1.6::DOUBLE) AS cy, cos(a) * dx + sin(a) * dy - 1.5::DOUBLE AS cz FROM turned)"""
+
+
+def _poses(p):
+    arr = lambda *v: F.array(*map(F.lit, v))
+    half = (F.col("frame") % 7) * 0.15
+    return p.withColumns(
+        {"ego_translation": arr(-10.0, -2.0, 0.0), "ego_rotation": F.array(F.cos(half), F.lit(0.0), F.lit(0.0), F.sin(half)), "sensor_translation": arr(1.5, 0.0, 1.6), "sensor_rotation": arr(*CAM_Q), "camera_intrinsic": F.array(*[arr(*row) for row in K]), "width": F.lit(1600), "height": F.lit(900)}
+    )
+
+
+def _turned(spark, d):
+    """Points with their place in the turned vehicle's camera."""
+    p = _poses(points(spark, d))
+    at = lambda c: G.vec(F.col(c))
+    cam = G.let(G.rotation(F.col("ego_rotation")), lambda re: G.let(G.rotation(F.col("sensor_rotation")), lambda rs: F.struct(*[c.alias(n) for c, n in zip(G.global_to_sensor((F.col("x"), F.col("y"), F.col("z")), at("ego_translation"), re, at("sensor_translation"), rs), ("cx", "cy", "cz"), strict=True)])))
+    return p.select("*", F.inline(F.array(cam)))
+
+
+@query("WITH " + _TURNED + " SELECT frame, point, round(cx, 6) + 0.0 AS cx, round(cy, 6) + 0.0 AS cy, round(cz, 6) + 0.0 AS cz, round(x, 6) + 0.0 AS x, round(y, 6) + 0.0 AS y, round(z, 6) + 0.0 AS z FROM seen")
+def geo_turned_ego(spark, d):
+    """From the world to a turned vehicle's camera, and back again."""
+    at = lambda c: G.vec(F.col(c))
+    back = G.let(G.rotation(F.col("ego_rotation")), lambda re: G.let(G.rotation(F.col("sensor_rotation")), lambda rs: F.struct(*[c.alias(n) for c, n in zip(G.sensor_to_global((F.col("cx"), F.col("cy"), F.col("cz")), at("ego_translation"), re, at("sensor_translation"), rs), ("bx", "by", "bz"), strict=True)])))
+    rows = _turned(spark, d).select("frame", "point", "cx", "cy", "cz", F.inline(F.array(back)))
+    return rows.select("frame", "point", *[_r(F.col(c)).alias(c) for c in ("cx", "cy", "cz")], *[_r(F.col(f"b{c}")).alias(c) for c in "xyz"])
+
+
+@query("WITH " + _TURNED + " SELECT frame, point FROM seen WHERE cz > 0.5 AND 1266.4 * cx / cz + 816.3 >= 0 AND 1266.4 * cx / cz + 816.3 < 1600 AND 1266.4 * cy / cz + 491.5 >= 0 AND 1266.4 * cy / cz + 491.5 < 900")
+def geo_in_image(spark, d):
+    seen = G.in_image((F.col("cx"), F.col("cy"), F.col("cz")), F.col("camera_intrinsic"), F.col("width"), F.col("height"))
+    return _turned(spark, d).where(seen).select("frame", "point")
+
+
+# A LiDAR 0.8 m ahead and 1.9 m up, turned by a quarter to the right, whose vehicle stands 0.5 m behind the camera's.
+_LIDAR = POINTS + """, e AS (
+  SELECT frame, (frame % 7) * 0.3::DOUBLE AS a, y + 0.8::DOUBLE AS lx, -x AS ly, z + 1.9::DOUBLE AS lz FROM points), g AS (
+  SELECT frame, a, cos(a) * lx - sin(a) * ly - 10 - 0.5 * cos(a) AS gx, sin(a) * lx + cos(a) * ly - 2 - 0.5 * sin(a) AS gy, lz AS gz FROM e), c AS (
+  SELECT frame, cos(a) * (gx + 10) + sin(a) * (gy + 2) AS px, -sin(a) * (gx + 10) + cos(a) * (gy + 2) AS py, gz AS pz FROM g)"""
+
+
+def _placed(spark, d):
+    p = points(spark, d)
+    poses = _poses(p.select("frame").distinct())
+    r, half = 0.7071067811865476, F.col("frame") % 7 * 0.3
+    pairs = poses.withColumns(
+        {"lidar_frame": F.col("frame"), "frame_token": F.col("frame"), "lidar_translation": F.array(*map(F.lit, (0.8, 0.0, 1.9))), "lidar_rotation": F.array(*map(F.lit, (r, 0.0, 0.0, -r))),
+         "lidar_ego_translation": F.array(-10 - 0.5 * F.cos(half), -2 - 0.5 * F.sin(half), F.lit(0.0)), "lidar_ego_rotation": F.col("ego_rotation")}
+    )
+    return lifting.place_points(pairs.drop("frame"), p.select(F.col("frame").alias("lidar_frame"), "x", "y", "z"))
+
+
+@query("WITH " + _LIDAR + " SELECT frame AS frame_token, round(px, 5) + 0.0 AS x, round(py, 5) + 0.0 AS y, round(pz, 5) + 0.0 AS z, round(px - 1.5, 5) + 0.0 AS depth, round((1266.4 * (-py) + 816.3 * (px - 1.5)) / (px - 1.5), 2) AS u FROM c WHERE abs(px - 1.5) > 1")
+def fuse_place_points(spark, d):
+    """LiDAR points of turned vehicles in the camera's vehicle frame and in its image."""
+    return _placed(spark, d).where("abs(depth) > 1").select("frame_token", *[_r(F.col(c), 5).alias(c) for c in ("x", "y", "z", "depth")], F.round("u", 2).alias("u"))
+
+
+@query("WITH " + _LIDAR + " SELECT frame AS frame_token, round(coalesce(quantile_cont(pz, 0.05) FILTER (WHERE sqrt(px * px + py * py) <= 40), quantile_cont(pz, 0.05)), 6) AS ground FROM c GROUP BY 1")
+def fuse_ground_turned(spark, d):
+    """The ground's height under each frame."""
+    return fusion.ground_height(_placed(spark, d), "frame_token").select("frame_token", F.round("ground", 6).alias("ground"))

@@ -102,7 +102,8 @@ def _rows(found: list[dict]) -> pa.RecordBatch:
     return pa.RecordBatch.from_pylist([{n: f.get(n) for n in FEATURES.names} for f in found], schema=pa.schema([("frame_token", pa.string()), ("decode_ok", pa.bool_()), ("decode_error", pa.string()), *[(n, pa.float64()) for n in FEATURES.names[3:]]]))
 
 
-def _binary_features(files: DataFrame, kind: str) -> DataFrame:
+def binary_features(files: DataFrame, kind: str) -> DataFrame:
+    """Features of files (frame_token, content, width, height) of a modality that is read as bytes."""
     decode = modality(kind)[1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -147,7 +148,7 @@ def frame_features(spark: SparkSession, frames: DataFrame, root: str, side: int
     parts.append(_camera_features(wanted.where("modality = 'camera'").join(img, "filename"), side))
     for kind in ("lidar", "radar"):
         files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", f"*{modality(kind)[0]}").load(dirs)
-        parts.append(_binary_features(wanted.where(F.col("modality") == kind).join(files.select(relative(F.col("path")).alias("filename"), "content"), "filename"), kind))
+        parts.append(binary_features(wanted.where(F.col("modality") == kind).join(files.select(relative(F.col("path")).alias("filename"), "content"), "filename"), kind))
     decoded = parts[0].unionByName(parts[1]).unionByName(parts[2])
     every = wanted.select("frame_token").join(decoded, "frame_token", "left")
     return every.withColumns({"decode_error": F.when(F.col("decode_ok").isNull(), F.lit("missing file")).otherwise(F.col("decode_error")), "decode_ok": F.coalesce("decode_ok", F.lit(False))})
