@@ -27,6 +27,12 @@ from .sources.raw import check_key, file_sizes, manifest, read_parquet, read_tab
 from .schemas import RAW
 
 
+#: A camera detector's boxes, if there are any.
+DETECTIONS = "predictions/detections2d"
+#: The names under which 3D scores are published.
+SCORE_NAMES = {"map": "mAP", "nds": "NDS_lite", "mate": "mATE", "mase": "mASE", "maoe": "mAOE"}
+
+
 class Stage:
     """Where the layers of one run lie."""
 
@@ -181,17 +187,31 @@ def publish_model(spark: SparkSession, p: Params, slices: DataFrame, model_versi
     path = s.path("predictions/eval3d.json")
     if exists(spark, path):
         report = json.loads(spark.read.text(path, wholetext=True).first()[0])
-        rows = rows.unionByName(store.metric_rows(spark, report).select(F.lit("3d").alias("slice"), F.concat(F.lit("3d."), "metric").alias("metric"), "value"))
+        rows = rows.unionByName(spark.createDataFrame(scores_3d(report), rows.schema))
     store.publish(rows.withColumn("model_version", F.lit(model_version)), s.path("store/model_metrics"), run_id, published_at)
 
 
+def scores_3d(report: dict) -> list[tuple[str, str, float]]:
+    """Rows (slice, metric, value) of the 3D scores: a slice a mode, and one a mode and class."""
+    out = []
+    for mode, scores in report.items():
+        out += [(f"3d_{mode}", name, float(scores[key])) for key, name in SCORE_NAMES.items() if scores[key] is not None]
+        out += [(f"3d_{mode}:{cls}", "ap", float(of["ap"])) for cls, of in scores["per_class"].items()]
+    return out
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
     return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
 
 
 def fuse3d(spark: SparkSession, p: Params) -> dict:
-    """3D boxes of the test split from its 2D labels, scored against its 3D ones."""
+    """3D boxes of the test split, scored against its 3D labels, for each mode of 2D boxes.
+
+    ``oracle_2d`` lifts the 2D labels; ``detector`` the boxes of the table
+    predictions/detections2d (frame_token, cls, score, x1, y1, x2, y2), where
+    there is one.
+    """
     s, f = Stage(spark, p), p.fusion
     samples = s.table("gold/samples", "curate")
     frames, qc = s.table("silver/frames", "transform"), s.table("silver/frames_qc", "quality")
@@ -202,19 +222,23 @@ def fuse3d(spark: SparkSession, p: Params) -> dict:
     ann = s.table("silver/annotations", "transform")
     train = ann.join(samples.where("split = 'train'").select("sample_token"), "sample_token", "left_semi")
     priors = fuse.size_priors(train)
-    labels = s.table("gold/labels_2d", "curate").select(F.col("annotation_token").alias("box_id"), "frame_token", F.col("det_class").alias("cls"), F.lit(1.0).alias("score"), "x1", "y1", "x2", "y2")
-    boxes = lifting.lift(pairs, decode.read_points(spark, lidar, p.raw_dir), labels.join(pairs.select("frame_token"), "frame_token", "left_semi"), priors, f, s.kept)
-    write_parquet(fuse.in_range(boxes, f.class_range), s.path("predictions/boxes3d"))
+    labels = s.table("gold/labels_2d", "curate").withColumnRenamed("det_class", "cls")
+    detections = spark.read.parquet(s.path(DETECTIONS)) if exists(spark, s.path(DETECTIONS)) else None
+    modes = fuse.MODES if detections is not None else fuse.MODES[:1]
+    flat = fuse.boxes_of_modes(labels, detections, f.min_score).join(pairs.select("frame_token"), "frame_token", "left_semi")
+    boxes = lifting.lift(pairs, decode.read_points(spark, lidar, p.raw_dir), flat.drop("mode"), priors, f, s.kept)
+    write_parquet(fuse.in_range(boxes.withColumn("mode", fuse.mode_of(F.col("box_id"))), f.class_range), s.path("predictions/boxes3d"))
     write_parquet(lifting.ground_truth(ann, pairs, f), s.path("predictions/gt3d"))
     preds, gts = s.table("predictions/boxes3d", "fuse3d"), s.table("predictions/gt3d", "fuse3d")
-    write_parquet(submission(preds), s.path("predictions/submission"))
-    report = evaluate_boxes(preds, gts, p)
-    report["lidar_share"] = preds.agg(F.avg((F.col("source") == "lidar").cast("double"))).first()[0]
+    of = {m: preds.where(F.col("mode") == m) for m in modes}
+    write_parquet(submission(next((of[m] for m in reversed(modes) if not of[m].isEmpty()), preds)), s.path("predictions/submission"))
+    report = {m: evaluate_boxes(of[m], gts, p) for m in modes}
     write_json(spark, report, s.path("predictions/eval3d.json"))
     return report
 
 
 def evaluate_boxes(preds: DataFrame, gts: DataFrame, p: Params) -> dict:
+    """Scores of one mode's boxes: in all, by class, and recall by distance."""
     f = p.fusion
     pr = preds.select(F.col("sample_token").alias("sample"), "cls", F.xxhash64("box_id").alias("p"), "score", F.get("center", F.lit(0)).alias("x"), F.get("center", F.lit(1)).alias("y"), "size", "yaw")
     gt = gts.withColumn("g", F.xxhash64("annotation_token"))
@@ -222,7 +246,13 @@ def evaluate_boxes(preds: DataFrame, gts: DataFrame, p: Params) -> dict:
     n = gt.groupBy("cls").agg(F.count(F.lit(1)).alias("n_gt")).withColumn("thr", F.explode(F.array(*map(F.lit, f.eval_thresholds))))
     ap = matching.average_precision(m.withColumn("tp", F.col("g").isNotNull()), n)
     pairs = m.where((F.col("thr") == f.tp_threshold) & F.col("g").isNotNull()).join(pr.select("p", *sizes("pred")), "p").join(gt.select("g", *sizes("gt")), "g")
-    return matching.nds_lite(ap.select("cls", "thr", "ap"), matching.tp_errors(pairs)).first().asDict()
+    report = matching.nds_lite(ap.select("cls", "thr", "ap"), matching.tp_errors(pairs)).first().asDict()
+    by_class = ap.where("ap IS NOT NULL").groupBy("cls").agg(F.avg("ap").alias("ap")).collect()  # a row a class
+    by_distance = matching.recall_by(pr, gt, "distance_bin", f.tp_threshold).collect()  # a row a bin
+    report["per_class"] = {r["cls"]: {"ap": r["ap"]} for r in by_class}
+    report["by_distance"] = {r["distance_bin"]: {"n_gt": r["n_gt"], "recall": r["recall"], "ate": r["ate"]} for r in by_distance}
+    report["lidar_share"] = preds.agg(F.avg((F.col("source") == "lidar").cast("double"))).first()[0]
+    return report
 
 
 def sizes(prefix: str) -> list:

@@ -125,3 +125,28 @@ def in_range(boxes: DataFrame, ranges: Mapping[str, float], default: float = 50.
     from ..functions.scalars import lookup
 
     return boxes.where(F.col(distance) <= F.coalesce(lookup(F.col(cls), ranges), F.lit(default)))
+
+
+MODES = ("oracle_2d", "detector")
+
+
+def boxes_of_modes(labels: DataFrame, detections: DataFrame | None, min_score: float) -> DataFrame:
+    """2D boxes to lift, with their ``mode``: labels at a score of 1, and a detector's boxes that score enough.
+
+    Both tables have frame_token, cls, x1, y1, x2, y2; labels an
+    annotation_token, detections a score.  A ``box_id`` names one box of one
+    mode; detections are numbered within their frame by score.
+    """
+    shape = ("box_id", "mode", "frame_token", "cls", "score", "x1", "y1", "x2", "y2")
+    oracle, detector = MODES
+    boxes = labels.withColumns({"mode": F.lit(oracle), "box_id": F.concat_ws("/", F.lit(oracle), "annotation_token"), "score": F.lit(1.0)}).select(*shape)
+    if detections is None:
+        return boxes
+    nth = F.row_number().over(Window.partitionBy("frame_token").orderBy(F.col("score").desc(), "cls", "x1", "y1", "x2", "y2"))
+    found = detections.where(F.col("score") >= min_score).withColumn("score", F.col("score").cast("double"))
+    found = found.withColumns({"mode": F.lit(detector), "box_id": F.concat_ws("/", F.lit(detector), "frame_token", nth.cast("string"))})
+    return boxes.unionByName(found.select(*shape))
+
+
+def mode_of(box_id: Column) -> Column:
+    return F.split(box_id, "/")[0]

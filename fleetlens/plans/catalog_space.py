@@ -306,6 +306,17 @@ def eval_source_share(spark, d):
     return points(spark, d).groupBy("cls").agg(F.round(F.avg((F.col("intensity") > 0).cast("double")), 6).alias("lidar_share"), F.round(F.avg(F.abs("z")), 6).alias("mean_ms"))
 
 
+@query("WITH " + POINTS + ", l AS (SELECT 'oracle_2d' AS mode, 'oracle_2d/' || frame || '-' || point AS box_id, frame, 1.0::DOUBLE AS score, x, y FROM points WHERE point < 8), "
+       "d AS (SELECT 'detector' AS mode, 'detector/' || frame || '/' || row_number() OVER (PARTITION BY frame ORDER BY score DESC, x, y) AS box_id, frame, score, x, y FROM (SELECT *, round(intensity, 0) + 0.0 AS score FROM points) WHERE point >= 8 AND score >= 0) "
+       "SELECT mode, box_id, frame::VARCHAR AS frame_token, score, round(x, 6) AS x1, round(y, 6) AS y1 FROM (FROM l UNION ALL FROM d)")
+def fuse_modes(spark, d):
+    """2D boxes of both modes: labels at a score of 1, and a detector's that score enough."""
+    box = points(spark, d).select(F.col("frame").cast("string").alias("frame_token"), "point", F.lit("car").alias("cls"), (F.round("intensity", 0) + 0.0).alias("score"), F.col("x").alias("x1"), F.col("y").alias("y1"), (F.col("x") + 1).alias("x2"), (F.col("y") + 1).alias("y2"))
+    labels = box.where("point < 8").withColumn("annotation_token", F.concat_ws("-", "frame_token", F.col("point").cast("string")))
+    both = fusion.boxes_of_modes(labels, box.where("point >= 8"), 0.0)
+    return both.select("mode", "box_id", "frame_token", F.col("score"), F.round("x1", 6).alias("x1"), F.round("y1", 6).alias("y1"))
+
+
 _LEVELS = [round(-30 + i * 40 / 31, 6) for i in range(32)]
 
 

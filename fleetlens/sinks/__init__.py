@@ -84,8 +84,17 @@ def demo_samples(samples: DataFrame, n: int) -> DataFrame:
     return ranked.where(F.array_contains(even_positions(F.col("_n"), n), F.col("_pos"))).drop("_pos", "_n")
 
 
+def bars(title: str, values: dict[str, float]) -> str:
+    """A panel of labelled horizontal bars, longest first."""
+    from html import escape
+
+    top = max(values.values(), default=0) or 1
+    rows = "".join(f"<tr><td>{escape(k)}</td><td><div style='background:#4878a8;height:1em;width:{300 * v / top:.0f}px'></div></td><td>{v:g}</td></tr>" for k, v in sorted(values.items(), key=lambda kv: (-kv[1], kv[0])))
+    return f"<h1>{escape(title)}</h1><table>{rows}</table>"
+
+
 def html_report(kpis: dict, coverage: list[dict]) -> str:
-    """A static page: coverage by place and condition, and every number of the report."""
+    """A static page: coverage by place and condition, frames by channel, issues by check and severity, training boxes by class, and every number of the report."""
     from html import escape
 
     from ..operators.store import flatten
@@ -94,8 +103,14 @@ def html_report(kpis: dict, coverage: list[dict]) -> str:
     for r in coverage:
         for c in ("time_of_day", "weather"):
             cells[r["location"], r[c]] = cells.get((r["location"], r[c]), 0) + r["samples"]
-    conditions = ["day", "night", "clear", "rain"]
+    conditions, most = ["day", "night", "clear", "rain"], max(cells.values(), default=0) or 1
     head = "<tr><th>location</th>" + "".join(f"<th>{c}</th>" for c in conditions) + "</tr>"
-    body = "".join(f"<tr><td>{escape(p)}</td>" + "".join(f"<td>{cells.get((p, c), 0)}</td>" for c in conditions) + "</tr>" for p in sorted({p for p, _ in cells}))
+    cell = lambda n: f"<td style='background:rgba(72,120,168,{n / most:.2f})'>{n}</td>"
+    body = "".join(f"<tr><td>{escape(p)}</td>" + "".join(cell(cells.get((p, c), 0)) for c in conditions) + "</tr>" for p in sorted({p for p, _ in cells}))
+    panels = (
+        bars("Frames by channel", {k: v["frames"] for k, v in kpis.get("volume", {}).items()})
+        + "".join(bars(f"Issues: {s}", {k.rsplit(".", 1)[0]: n for k, n in kpis.get("issues", {}).items() if k.endswith(f".{s}")}) for s in sorted({k.rsplit(".", 1)[1] for k in kpis.get("issues", {})}))
+        + bars("Training boxes by class", {k: v["boxes"] for k, v in kpis.get("train_balance", {}).items()})
+    )
     rows = "".join(f"<tr><td>{escape(k)}</td><td>{v:g}</td></tr>" for k, v in sorted(flatten(kpis).items()))
-    return f"<!doctype html><meta charset='utf-8'><title>KPIs</title><h1>Coverage</h1><table>{head}{body}</table><h1>Metrics</h1><table>{rows}</table>\n"
+    return f"<!doctype html><meta charset='utf-8'><title>KPIs</title><h1>Coverage</h1><table>{head}{body}</table>{panels}<h1>Metrics</h1><table>{rows}</table>\n"

@@ -1,6 +1,7 @@
 """The stages end to end on the synthetic recording: clean, and with faults."""
 
 import json
+import shutil
 from collections import Counter
 
 import pytest
@@ -130,14 +131,43 @@ def test_publishing_twice_makes_two_runs(spark, clean):
     n = history.count()
     assert {"git_commit", "dataset_version", "published_at"} <= set(history.columns) and history.select("dataset_version").distinct().count() == 1
     jobs.publish_model(spark, p, spark.createDataFrame([("night", "map50", 0.5)], "slice string, metric string, value double"), "m1", "run-1", "2024-01-01 00:00:00")
-    assert {r["metric"] for r in out(spark, p, "store/model_metrics").collect()} >= {"map50", "3d.nds"}
+    assert {r["metric"] for r in out(spark, p, "store/model_metrics").collect()} >= {"map50", "mAP", "NDS_lite", "ap"}
     assert history.select("run_id").distinct().count() == 2 and n == 2 * history.where("run_id = 'run-1'").count()
 
 
 def test_fusion_scores(spark, clean):
     _, done = clean
-    f = done["fuse3d"]
+    assert set(done["fuse3d"]) == {"oracle_2d"}
+    f = done["fuse3d"]["oracle_2d"]
     assert f["map"] > 0.8 and f["mate"] < 0.5 and f["lidar_share"] > 0.5
+    assert f["per_class"] and all(0 <= v["recall"] <= 1 and v["n_gt"] > 0 for v in f["by_distance"].values())
+
+
+def test_detector_boxes_are_a_mode_of_their_own(spark, clean):
+    p, done = clean
+    labels = out(spark, p, "gold/labels_2d")
+    seen = labels.selectExpr("frame_token", "det_class AS cls", "CAST(0.9 AS FLOAT) AS score", "x1", "y1", "x2", "y2")
+    weak = seen.selectExpr("frame_token", "cls", "CAST(0.1 AS FLOAT) AS score", "x1 + 5 AS x1", "y1", "x2 + 5 AS x2", "y2")
+    seen.union(weak).write.parquet(f"{p.out_dir}/{jobs.DETECTIONS}")
+    try:
+        report = jobs.fuse3d(spark, p)
+        boxes = out(spark, p, "predictions/boxes3d")
+        n = {r["mode"]: r["count"] for r in boxes.groupBy("mode").count().collect()}
+    finally:
+        shutil.rmtree(f"{p.out_dir}/{jobs.DETECTIONS}")
+    assert set(report) == {"oracle_2d", "detector"} and n["oracle_2d"] == n["detector"]  # the weak boxes are left out
+    assert abs(report["detector"]["map"] - report["oracle_2d"]["map"]) < 0.05
+    assert {s for s, _, _ in jobs.scores_3d(report)} >= {"3d_detector", "3d_oracle_2d"}
+    assert out(spark, p, "predictions/submission").count() == boxes.where("mode = 'detector'").select("sample_token").distinct().count()
+    jobs.fuse3d(spark, p)
+
+
+def test_report_has_its_panels(spark, clean):
+    from fleetlens.sinks import html_report
+
+    page = html_report({"volume": {"CAM_FRONT": {"frames": 7}}, "issues": {"gap.WARN": 2, "missing_file.ERROR": 1}, "train_balance": {"car": {"boxes": 9}}}, [{"location": "a<b", "time_of_day": "day", "weather": "rain", "samples": 3}])
+    assert all(t in page for t in ("Coverage", "a&lt;b", "Frames by channel", "Issues: ERROR", "Issues: WARN", "Training boxes by class"))
+    assert "Coverage" in html_report({}, [])
 
 
 def test_radar_and_scene_filter(spark, clean, tmp_path):
