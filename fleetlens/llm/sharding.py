@@ -95,7 +95,8 @@ def assign_shards(docs: DataFrame, n_shards: int = 24, id_col: str = "doc_id", t
     heavy = _heavy(placed, stats, total, n_shards)
     off, group = F.col("__base") + F.col("__off"), F.when(F.col("__key") == F.col("__open_key"), F.col("__open_at")).otherwise(F.col("__base") + F.col("__goff"))
     anchor = F.when(F.col("__key").isin(heavy), off).otherwise(group) if heavy else group
-    shard = F.least(F.lit(n_shards - 1), F.floor(((anchor * 2 + F.col("__size")) * n_shards).cast("decimal(38,0)") / (F.lit(max(total, 1)) * 2)).cast("int"))
+    # Whole numbers in longs: an int's double overflows from a total of 2^30 bytes, and a decimal quotient is rounded up just below a cut.
+    shard = F.least(F.lit(n_shards - 1), F.call_function("div", (anchor * 2 + F.col("__size")) * n_shards, F.lit(2 * max(total, 1)).cast("long"))).cast("int")
     sharded = placed.join(F.broadcast(parts_df), "__pid").withColumn("shard", shard).withColumn("__nth_row", F.col("__nth") + F.col("__pos"))
     firsts = sharded.groupBy("shard").agg(F.min("__nth_row").alias("__first_row"))  # n_shards rows at most
     return sharded.join(F.broadcast(firsts), "shard").select(

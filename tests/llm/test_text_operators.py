@@ -581,6 +581,31 @@ def test_sharding_matches_prefix_sums(spark, parts):
     assert len(homes.pop(zlib.crc32(b"the same text"))) > 4 and all(len(h) == 1 for h in homes.values())  # only the heavy group is cut
 
 
+@pytest.mark.parametrize("row_bytes", [1 << 26, (1 << 27) - 50, 1 << 28])
+def test_sharding_of_large_totals(spark, monkeypatch, row_bytes):
+    """Totals below 2^30 bytes, from there to 2^31, and above."""
+    monkeypatch.setattr(sharding, "ROW_BYTES", row_bytes)
+    rows = [(i, prose(i, 5 + i % 3)) for i in range(12)]
+    total = sum(len(t) + row_bytes for _, t in rows)
+    assert total >> 30 == {1 << 26: 0, (1 << 27) - 50: 1, 1 << 28: 3}[row_bytes]
+    want, off = {}, 0
+    for i, t in sorted(rows, key=lambda r: hashlib.md5(r[1].encode()).hexdigest()):
+        want[i] = (2 * off + len(t) + row_bytes) * 24 // (2 * total)
+        off += len(t) + row_bytes
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id: r.shard for r in sharding.assign_shards(docs).collect()} == want
+    assert {r.row.doc_id: r.shard for r in sharding.assign_shards(docs, carry=True).collect()} == want
+
+
+def test_sharding_just_below_a_cut(spark, monkeypatch):
+    """Of two rows in four shards the middles lie a few bytes of a billion before 1 and 3, which six decimals do not tell from them."""
+    monkeypatch.setattr(sharding, "ROW_BYTES", 500_000_000)
+    digest = lambda t: hashlib.md5(t.encode()).hexdigest()
+    longer = next("x" * k for k in range(2, 99) if digest("x" * k) > digest("x"))
+    docs = spark.createDataFrame([(1, "x"), (2, longer)], "doc_id long, text string")
+    assert {r.doc_id: r.shard for r in sharding.assign_shards(docs, 4).collect()} == {1: 0, 2: 2}
+
+
 def test_sharding_awkward_rows(awkward, empty):
     got = sharding.assign_shards(awkward)
     assert got.count() == awkward.count() and {r.shard for r in got.collect()} <= set(range(24))
